@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from skeinworks.llm import canonical_dups
+from skeinworks.llm import canonical_dups, contamination, cooccurrence
 
 
 def queries() -> dict:
     return {
         "p4_found": canonical_dups.p4_found,
         "p4_collapsed": canonical_dups.p4_collapsed,
+        "p5_found": cooccurrence.p5_found,
+        "p5_lift": cooccurrence.p5_lift,
+        "p6_found": contamination.p6_found,
+        "p6_leaked_items": contamination.p6_leaked_items,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": cooccurrence.P5_SQL, "p5_lift": cooccurrence.P5_LIFT_SQL, "p6_found": contamination.P6_SQL}
