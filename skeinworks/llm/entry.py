@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from skeinworks.llm import canonical_dups, contamination, cooccurrence
+from skeinworks.llm import canonical_dups, contamination, cooccurrence, near_dups
 
 
 def queries() -> dict:
     return {
+        "p1_found": near_dups.p1_found,
         "p4_found": canonical_dups.p4_found,
         "p4_collapsed": canonical_dups.p4_collapsed,
         "p5_found": cooccurrence.p5_found,
