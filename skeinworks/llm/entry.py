@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skeinworks.llm import canonical_dups, contamination, cooccurrence, near_dups
+from skeinworks.llm import canonical_dups, contamination, cooccurrence, near_dups, sentences
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "p5_lift": cooccurrence.p5_lift,
         "p6_found": contamination.p6_found,
         "p6_leaked_items": contamination.p6_leaked_items,
+        "p8_found": sentences.p8_found,
     }
 
 
