@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from skeinworks.llm import canonical_dups, contamination, cooccurrence, near_dups, sentences
+from skeinworks.llm import answer_defects, canonical_dups, contamination, cooccurrence, near_dups, sentences
 
 
 def queries() -> dict:
     return {
         "p1_found": near_dups.p1_found,
+        "p3_found": answer_defects.p3_found,
+        "p3_manifest": answer_defects.p3_manifest,
         "p4_found": canonical_dups.p4_found,
         "p4_collapsed": canonical_dups.p4_collapsed,
         "p5_found": cooccurrence.p5_found,
