@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from skeinworks.llm import answer_defects, canonical_dups, contamination, cooccurrence, near_dups, sentences
+from skeinworks.llm import answer_defects, canonical_dups, contamination, cooccurrence, mixing, near_dups, quota_sample, sentences
 
 
 def queries() -> dict:
     return {
         "p1_found": near_dups.p1_found,
+        "p2_found": quota_sample.p2_found,
+        "p2_report": quota_sample.p2_report,
+        "p2_sample": quota_sample.p2_sample,
         "p3_found": answer_defects.p3_found,
         "p3_manifest": answer_defects.p3_manifest,
         "p4_found": canonical_dups.p4_found,
@@ -16,9 +19,11 @@ def queries() -> dict:
         "p5_lift": cooccurrence.p5_lift,
         "p6_found": contamination.p6_found,
         "p6_leaked_items": contamination.p6_leaked_items,
+        "p7_mixture": mixing.p7_mixture,
+        "p7_weights": mixing.p7_weights,
         "p8_found": sentences.p8_found,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": cooccurrence.P5_SQL, "p5_lift": cooccurrence.P5_LIFT_SQL, "p6_found": contamination.P6_SQL}
+    return {"p2_found": quota_sample.P2_SQL, "p5_found": cooccurrence.P5_SQL, "p5_lift": cooccurrence.P5_LIFT_SQL, "p6_found": contamination.P6_SQL}
