@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from skeinworks import runtime
+from skeinworks.plans import graphs, seeds, texts  # noqa: F401  (they register their queries)
+from skeinworks.plans.registry import QUERIES, SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runtime.table(spark, sf_dir, "subnodes").groupBy("domain").agg(F.count("*").alias("subnodes"))
+    return QUERIES["pre_edges"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -185,13 +185,16 @@ def _copy_batches(shared, least: float):
 
 
 def char_grams(c: Column, low: int = 3, high: int = 5) -> Column:
-    """Character n-grams of each blank-padded word, repeats kept; a word shorter than n gives itself once."""
+    """Character n-grams of each blank-padded word, repeats kept; none for words shorter than n with their blanks."""
     words = F.filter(F.split(T.squeeze(F.lower(F.coalesce(c, F.lit("")))), " "), lambda w: w != "")
 
     def of(w: Column) -> Column:
         p = F.concat(F.lit(" "), w, F.lit(" "))
-        sizes = [F.when(F.length(p) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(p) - n + 1)), lambda i, n=n: F.substring(p, i, n))).otherwise(F.array().cast("array<string>")) for n in range(low, high + 1)]
-        return F.concat(*sizes)
+        def of_size(n: int) -> Column:
+            places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(p) - n + 1))
+            return F.when(F.length(p) >= n, F.transform(places, lambda i: F.substring(p, i, n))).otherwise(F.array().cast("array<string>"))
+
+        return F.concat(*(of_size(n) for n in range(low, high + 1)))
 
     return F.flatten(F.transform(words, of))
 
