@@ -143,7 +143,7 @@ def cooccurrence(baskets: DataFrame, min_count: int, min_permyriad: int = 0, hea
         codes = spark.sparkContext.broadcast(np.array(sorted(r[0] for r in items.select("code").collect()), np.int64))
         pruned = lists.mapInArrow(_keep_codes(codes), "codes array<long>")
     else:
-        numbered = lists.select(F.monotonically_increasing_id().alias("row"), F.explode("codes").alias("code"))
+        numbered = lists.withColumn("row", F.monotonically_increasing_id()).select("row", F.explode("codes").alias("code"))
         pruned = numbered.join(items.select("code"), "code").groupBy("row").agg(F.collect_list("code").alias("codes")).select("codes")
     partial = pruned.filter(F.size("codes") > 1).mapInArrow(_count_pairs(np.array(heavy, np.int64)), "a long, b long, k long")
     total = partial.groupBy("a", "b").agg(F.sum("k").alias("together")).filter(F.col("together") >= least)
