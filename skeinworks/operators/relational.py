@@ -27,7 +27,7 @@ def dense_id(df: DataFrame, order: list[str], name: str = "position") -> DataFra
     first = placed.groupBy("__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
     offset = first.withColumn("__offset", F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
     out = placed.join(F.broadcast(offset.select("__part", "__first", F.coalesce("__offset", F.lit(0)).alias("__offset"))), "__part")
-    return out.withColumn(name, F.col("__at") - F.col("__first") + F.col("__offset")).drop("__part", "__at", "__first", "__offset", "__n")
+    return out.withColumn(name, F.col("__at") - F.col("__first") + F.col("__offset")).drop("__part", "__at", "__first", "__offset")
 
 
 def mode_first(df: DataFrame, keys: list[str], value: str, skip_blank: bool = True) -> DataFrame:

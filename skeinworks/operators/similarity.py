@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skeinworks import runtime
 from skeinworks.functions import text as T
@@ -79,7 +80,7 @@ def bm25_top(docs: DataFrame, doc: str, terms: Column, queries: DataFrame, query
     terms_frame = spark.createDataFrame([(t,) for t in wanted], "term string")
     df = {r[0]: r[1] for r in corpus.select(F.explode(F.array_distinct("__t")).alias("term")).join(F.broadcast(terms_frame), "term").groupBy("term").agg(F.count("*")).collect()}  # query terms only
     idf = {t: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for t, d in df.items()}
-    shared = spark.sparkContext.broadcast(([(q, ts or []) for q, ts in asked], idf, (total or 0) / n if n else 1.0, k))
+    shared = spark.sparkContext.broadcast(([(q, ts or []) for q, ts in asked], idf, (total or 0) / n if n else 1.0, k, to_arrow_type(queries.schema[query].dataType)))
     kinds = f"q {queries.schema[query].dataType.simpleString()}, d {docs.schema[doc].dataType.simpleString()}, score double"
     local = corpus.mapInArrow(_score_batches(shared), kinds)
     best = top_k(local, ["q"], [F.col("score").desc(), F.col("d")], k)
@@ -88,7 +89,7 @@ def bm25_top(docs: DataFrame, doc: str, terms: Column, queries: DataFrame, query
 
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, idf, average, k = shared.value
+        asked, idf, average, k, query_type = shared.value
         column = {t: i for i, t in enumerate(sorted(idf))}
         weight = np.zeros((len(asked), len(column)))
         for i, (_, ts) in enumerate(asked):
@@ -118,7 +119,7 @@ def _score_batches(shared):
             held = [_best(held, k)]
         if held and kind is not None:
             q, d, s = _best(held, k)
-            yield pa.RecordBatch.from_arrays([pa.array([asked[i][0] for i in q.tolist()]), pa.array(d.tolist(), kind), pa.array(s)], names=["q", "d", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array([asked[i][0] for i in q.tolist()], query_type), pa.array(d.tolist(), kind), pa.array(s)], names=["q", "d", "score"])
 
     return run
 
@@ -141,7 +142,7 @@ def copy_scores(docs: DataFrame, doc: str, text: str, seeds: DataFrame, seed: st
     runtime.ship_package(spark)
     sides = seeds.select(seed, T.seed_tokens(F.col(seed_text)).alias("t"), T.digit_runs(F.col(seed_text)).alias("n"))
     _bounded(sides, seed, F.concat("t", "n"))
-    shared = spark.sparkContext.broadcast([(r[0], r[1], r[2]) for r in sides.collect()])
+    shared = spark.sparkContext.broadcast(([(r[0], r[1], r[2]) for r in sides.collect()], to_arrow_type(seeds.schema[seed].dataType)))
     kinds = f"d {docs.schema[doc].dataType.simpleString()}, s {seeds.schema[seed].dataType.simpleString()}, score double"
     scored = docs.select(F.col(doc).alias("d"), T.seed_tokens(F.col(text)).alias("t"), T.digit_runs(F.col(text)).alias("n")).mapInArrow(_copy_batches(shared, least), kinds)
     return scored.select(F.col("d").alias(doc), F.col("s").alias(seed), "score")
@@ -149,7 +150,7 @@ def copy_scores(docs: DataFrame, doc: str, text: str, seeds: DataFrame, seed: st
 
 def _copy_batches(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = shared.value
+        seeds, seed_type = shared.value
         words: dict[str, list[int]] = {}
         digits: dict[str, list[int]] = {}
         for i, (_, t, n) in enumerate(seeds):
@@ -179,7 +180,7 @@ def _copy_batches(shared, least: float):
                     out[0].append(d)
                     out[1].append(seeds[i][0])
                     out[2].append(float(score[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], b.schema.field(0).type), pa.array(out[1], pa.int64() if not seeds or isinstance(seeds[0][0], int) else pa.string()), pa.array(out[2], pa.float64())], names=["d", "s", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], b.schema.field(0).type), pa.array(out[1], seed_type), pa.array(out[2], pa.float64())], names=["d", "s", "score"])
 
     return run
 
