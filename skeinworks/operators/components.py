@@ -1,8 +1,10 @@
 """Connected components of an edge table, without a driver-side graph.
 
 Each round contracts the edges of every partition to stars by a union-find in Python (memory bounded by
-the partition), then runs one large-star and one small-star step as joins on grouped minima, the
-alternation of which ends in O(log^2 n) rounds. Lineage is cut after each round by a table in the shared folder.
+the partition). A node then points to the least root it got anywhere; the roots of one node are linked to each other,
+roots that point on elsewhere keep that link (two pointers deep), and the next round has only those
+links, between roots. The largest node of a round is never a root, so rounds end, usually after two or
+three. The rounds' pointers are then followed backwards. Lineage is cut by tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -36,24 +38,13 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parent[max(u, v)] = min(u, v)
     if parent:
         rows = [(x, r) for x in list(parent) if (r := root(x)) != x]
+        led = {r for _, r in rows}
+        rows += [(x, x) for x, up in parent.items() if x == up and x not in led]  # loops only
         for lo in range(0, len(rows), 1 << 16):
             part = rows[lo : lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], kind), pa.array([r for _, r in part], kind)], names=["u", "v"])
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step: every neighbour of u (larger ones if large, else smaller ones and u) is linked to the least of them."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
-    if large:
-        out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.filter("u <> v").distinct()
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node it is linked to) for every end of an edge.
 
@@ -64,20 +55,32 @@ def connected_components(edges: DataFrame) -> DataFrame:
     u, v = edges.columns[:2]
     kind = edges.schema[u].dataType.simpleString()
     ends = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u is not null and v is not null")
-    loops = ends.filter("u = v").select(F.col("u").alias("node")).distinct()
-    now, before = ends.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), None
-    last = None
+    now, pointers, loops = ends, [], None
     while True:
-        local = now.mapInArrow(_local_stars, f"u {kind}, v {kind}")
-        step = runtime.materialize(_star(_star(local, True), False), "stars")
-        state = tuple(step.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if last is not None:
-            runtime.drop_materialized(last)
-        if state == before:
+        stars = runtime.materialize(now.mapInArrow(_local_stars, f"u {kind}, v {kind}"), "stars")
+        loops = stars.filter("u = v").select(F.col("u").alias("node")).distinct() if loops is None else loops
+        local = stars.filter("u <> v")
+        least = runtime.materialize(local.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")), "pointers")
+        pointers.append(least)
+        # Only nodes with two roots, and roots that point on, take part in the next round.
+        split = local.join(least.filter("m < most").select("u", "m"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        onward = least.select("u", "m").join(local.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+        jump = onward.join(least.select(F.col("u").alias("m"), F.col("m").alias("next")), "m", "left").select("u", F.coalesce("next", "m").alias("v"))
+        now = runtime.materialize(split.unionByName(jump).distinct(), "links")
+        if len(pointers) > 1:
+            runtime.drop_materialized(stars)
+        if now.isEmpty():
             break
-        now = last = step
-        before = state
-    links = step.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = step.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    lone = loops.join(links.select("node").unionByName(roots.select("node")), "node", "left_anti").withColumn("component", F.col("node"))
-    return links.unionByName(roots).unionByName(lone)
+    labels = None
+    for least in reversed(pointers):
+        here = least.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        if labels is not None:
+            above = labels.select(F.col("node").alias("component"), F.col("component").alias("top"))
+            here = here.join(above, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+            labels = here.unionByName(labels).distinct()
+        else:
+            labels = here
+    roots = labels.select(F.col("component").alias("node")).distinct().withColumn("component", F.col("node"))
+    out = labels.unionByName(roots)
+    lone = loops.join(out.select("node"), "node", "left_anti").withColumn("component", F.col("node"))
+    return out.unionByName(lone)

@@ -27,9 +27,13 @@ def text_normalize(spark, sf_dir: str) -> DataFrame:
 
 @query("token_stats", f"SELECT token, count(DISTINCT doc_id) AS df, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all({norm_sql('text')}, '[a-z0-9]+')) AS token FROM documents) GROUP BY token")
 def token_stats(spark, sf_dir: str) -> DataFrame:
-    """Document and collection frequency of every token: counted within each row first, so only (token, 1, tf) is shuffled."""
-    counted = table(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("t")).select(F.explode(F.array_distinct("t")).alias("token"), "t")
-    return counted.select("token", F.size(F.filter("t", lambda x: x == F.col("token"))).alias("n")).groupBy("token").agg(F.count("*").alias("df"), F.sum("n").alias("tf"))
+    """Document and collection frequency of every token.
+
+    A row's tokens are sorted and the first of each run marked, so one shuffle of partial sums gives both.
+    """
+    d = table(spark, sf_dir, "documents").select(F.array_sort(T.tokens(F.col("text"))).alias("t"))
+    marked = F.transform("t", lambda x, i: F.struct(x.alias("token"), F.when((i == 0) | (F.get("t", i - 1) != x), 1).otherwise(0).alias("first")))
+    return d.select(F.explode(marked).alias("m")).groupBy("m.token").agg(F.sum("m.first").alias("df"), F.count("*").alias("tf"))
 
 
 @query("doc_lengths", f"SELECT source, count(*) AS docs, round(avg(n), 6) AS mean_tokens, max(n) AS max_tokens FROM (SELECT lower(trim(source)) AS source, len(regexp_extract_all({norm_sql('text')}, '[a-z0-9]+')) AS n FROM documents) GROUP BY source")
