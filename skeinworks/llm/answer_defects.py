@@ -86,6 +86,8 @@ PLACEHOLDERS = frozenset("na nan none null nil tbd tba todo pending blank empty
 
 def script(text: str) -> str | None:
     """The script of most letters; Japanese if there is some kana."""
+    if text.isascii():
+        return "latin" if _letters.search(text) else None
     counts: dict[str, int] = {}
     for c in text:
         if not c.isalpha() and not "฀" <= c <= "๿" and not "ऀ" <= c <= "ॿ":
@@ -124,7 +126,7 @@ def language(text: str) -> str | None:
     for w in _letters.findall(text.lower()):
         for k in (ks := _STOP.get(w, ())):
             points[k] += 1 / len(ks)
-    for c in text:
+    for c in () if text.isascii() else text:
         if c in _LATIN_HINT:
             points[_LATIN_HINT[c]] += 0.7
     first, second = sorted(points.values(), reverse=True)[:2]
@@ -132,7 +134,7 @@ def language(text: str) -> str | None:
 
 
 def _plain(text: str) -> str:
-    return _not_word.sub("", unicodedata.normalize("NFKC", text).lower())
+    return _not_word.sub("", text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower())
 
 
 def _grams(s: str, n: int) -> set[str]:
@@ -179,11 +181,12 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
     said = [*prose, *([final] if final and not empty_mark else [])]
     whole = "\n".join(said)
     flat = _formula.sub(" ", whole)
-    refuse = any((_cannot.search(x) or _cannot_other.search(x)) and not (_not_unique.search(x) and not _apology.search(x)) for x in said)
+    cannot = [bool(_cannot.search(x) or _cannot_other.search(x)) for x in said]
+    refuse = any(c and not (_not_unique.search(x) and not _apology.search(x)) for c, x in zip(cannot, said))
     sorry = bool(_apology.search(whole))
     no_maths = bool(flat.strip()) and not re.search(r"\d|\\|\$", whole)
     talk = len(final) > 12 and not re.search(r"\d|\\", final)
-    last_says = bool(said) and any(bool(_cannot.search(x) or _cannot_other.search(x)) for x in said[-2:])
+    last_says = any(cannot[-2:])
     out["refusal"] = _vote(refuse, not refuse) + _vote(sorry, False) + _vote(no_maths and refuse, not no_maths and not last_says) + _vote(last_says and (talk or not final or empty_mark), not last_says)
 
     # copied_question
