@@ -158,3 +158,24 @@ def test_undirected_anti(spark):
     c = spark.createDataFrame([("a", "b"), ("a", "c")], "a string, b string")
     e = spark.createDataFrame([("b", "a"), ("c", "c")], "src string, dst string")
     assert [tuple(r) for r in G.undirected_anti(c, e).select("a", "b").collect()] == [("a", "c")]
+
+
+def test_softmax_odds_and_seeded_order(spark):
+    from skeinworks.operators.sampling import shuffled_first, softmax_choice
+
+    df = spark.range(4000).selectExpr("id AS g", "explode(array('a', 'b')) AS x").selectExpr("g", "x", "if(x = 'a', ln(3), 0.0) AS s")
+    n = softmax_choice(df, ["g"], "x", "s", 1.0, 1).filter("x = 'a'").count()
+    assert abs(n / 4000 - 0.75) < 0.03
+    rows = spark.range(50).selectExpr("id % 2 AS g", "id AS x")
+    one, two = ({tuple(r) for r in shuffled_first(rows.repartition(k), ["g"], "x", 3, 5).collect()} for k in (1, 6))
+    assert one == two and len(one) == 6
+
+
+def test_clusters(spark):
+    from skeinworks.operators.sampling import cluster_groups
+
+    words = [("g", f"{a} {b}", 1) for a in ("red", "blue", "green") for b in ("sum", "area", "ratio", "bound")] + [("h", "x y", 1), ("h", "z", 2)]
+    df = spark.createDataFrame(words, "g string, c string, f int").withColumn("t", F.array(F.substring_index("c", " ", 1)))
+    got = cluster_groups(df, "g", "c", "t", "f", 3).collect()
+    assert len({(r.c.split()[0], r.cluster) for r in got if r.g == "g"}) == 3
+    assert len({r.cluster for r in got if r.g == "h"}) == 2
