@@ -57,7 +57,7 @@ def tokens(c: Column) -> Column:
 
 
 # Words that say nothing about a seed's content.
-SEED_STOP = "the a an of and or to in is are be for with that this if find let given then what".split()
+SEED_STOP = "the that with from between prove find show determine compute classify integer integers number numbers given such have has are".split()
 
 
 def seed_tokens(c: Column) -> Column:
@@ -94,15 +94,16 @@ def relation_count(c: Column) -> Column:
     return total
 
 
-QUERY_VERBS = "find|determine|compute|calculate|evaluate|prove|show|what|how"
+# Words that open a statement's question.
+QUERY_VERBS = "find|determine|compute|calculate|evaluate|identify|what is|求|求出|计算|确定|判断|证明"
 
 
 def body_skeleton(c: Column) -> Column:
-    """The text before its last query verb, numbers as N and indexed letters as v."""
-    t = normalize_text(c)
-    head = F.regexp_extract(t, rf"(?s)^(.*)\b({QUERY_VERBS})\b", 1)
-    body = F.when(F.length(F.trim(head)) > 0, head).otherwise(t)
-    body = F.regexp_replace(body, r"[0-9]+(\.[0-9]+)?", "N")
+    """The text before its last query verb, normalised, numbers as N and single letters with an index as v."""
+    raw = F.coalesce(c, F.lit(""))
+    head = F.regexp_extract(raw, rf"(?is)^(.*)\b({QUERY_VERBS})\b", 1)
+    body = normalize_text(F.when(raw.rlike(rf"(?is)\b({QUERY_VERBS})\b"), head).otherwise(raw))
+    body = F.regexp_replace(body, r"\b[0-9]+\b", "N")
     body = F.regexp_replace(body, r"\b[a-z][0-9]*\b", "v")
     return F.trim(F.regexp_replace(body, " +", " "))
 
@@ -116,15 +117,24 @@ def render_steps(steps: Column) -> Column:
     return F.array_join(F.transform(steps, lambda s, i: F.concat((i + 1).cast("string"), F.lit(". "), F.coalesce(s, F.lit("")))), "\n")
 
 
+_NUMBERS = "real|positive real|nonnegative real|non-negative real|integer|positive integer|nonnegative integer|non-negative integer|complex"
+_SYMBOLS = r"((?:[A-Za-z]\w*\s*(?:,\s*[A-Za-z]\w*\s*)+))"
+# Forms in which several symbols are declared at once, or one gets a value.
+DECLARED = (rf"\b(?:{_NUMBERS})(?:\s+numbers?)?\s+{_SYMBOLS}", rf"\blet\s+{_SYMBOLS}\s+be\s+(?:{_NUMBERS})(?:\s+numbers?)?\b")
+ASSIGNED = r"\b([A-Za-z]\w*)\s*="
+
+
 def declared_symbols(c: Column) -> Column:
-    """Letters declared by 'let $x$' or '$x$ be', in order of first use."""
+    """Distinct symbols of all lists that declare several at once."""
     t = F.coalesce(c, F.lit(""))
-    return F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?i)let \$([a-z])\$"), F.lit(1)))
+    lists = F.concat(*(F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in DECLARED))
+    names = F.flatten(F.transform(lists, lambda x: F.split(x, ",")))
+    return F.array_distinct(F.filter(F.transform(names, squeeze_ends), lambda x: x != ""))
 
 
 def assigned_symbols(c: Column) -> Column:
-    """Letters given a number by 'x = 3'."""
-    return F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"([a-z]) = -?[0-9]"), F.lit(1)))
+    """Distinct symbols in front of an equals sign."""
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(ASSIGNED), F.lit(1)))
 
 
 def to_bool(c: Column, default: bool = False) -> Column:

@@ -8,17 +8,38 @@ from pyspark.sql import functions as F
 from skeinworks.functions import text as T
 
 # Words and phrases the rules look for.
-TASK_WORDS = "find|determine|compute|calculate|evaluate|prove|show|what|how many"
-PLACEHOLDERS = ("to be determined", "placeholder", "lorem ipsum", "some value", "insert here", "tbd")
-
-_NORM = r"regexp_replace(regexp_replace(regexp_replace(lower(coalesce(problem, '')), '[\s\p{Z}\x0b\x{85}\x{1c}-\x{1f}]+', ' ', 'g'), '^ | $', '', 'g'), '[`*_]', '', 'g')"
-
-
-def multi_task(norm: Column) -> Column:
-    """Two question marks, or a task word again within 220 characters after 'and' or 'then'."""
-    marks = F.regexp_count(norm, F.lit(r"\?")) >= 2
-    chained = norm.rlike(rf"\b({TASK_WORDS})\b.{{0,220}}\b(and|then)\b.{{0,40}}\b({TASK_WORDS})\b")
-    return marks | chained
+TASK_WORDS = "prove show find determine compute classify count evaluate disprove".split()
+TASK_WORDS_ZH = "证明 求 求出 计算 确定 分类 计数 判断".split()
+CONNECTORS = ("additionally", "furthermore", "moreover", "in addition", "另外", "此外", "并且", "同时")
+TASK_VERBS = "prove|show|find|determine|compute|classify|count|evaluate|disprove|solve"
+TASK_VERBS_ZH = "证明|求出|求|计算|确定|分类|计数|判断|解"
+PLACEHOLDERS = (
+    "new inequality", "additional constraint", "additional condition", "given a condition on", "given a constraint on", "include constraints",
+    "certain property", "some value", "some constraint", "some condition", "under a new inequality", "with a new inequality",
+    "specific constraints", "specific constraint", "specific steps", "specific step", "specific digit constraints", "specific group sizes",
+    "certain points", "certain labeled points", "certain steps", "intermediate points", "different types", "new set of linear transformations",
+    "new set of eigenvalue conditions", "new orthogonality conditions", "new proportionality conditions", "new collinearity conditions",
+    "fixed number of games", "given conditions", "under the given conditions", "under given conditions", "specific pattern", "specific rule",
+    "specified range", "modified equation", "modified polynomial", "modified function", "modified matrix", "specific symmetry property",
+    "special symmetry property", "specific transformation", "certain transformation", "forced case split", "new scoring system", "additional term",
+)
+
+SPACES = r"[\s\p{Z}\x0b\x{85}\x{1c}-\x{1f}]"
+_NORM = rf"regexp_replace(regexp_replace(regexp_replace(lower(coalesce(problem, '')), '{SPACES}+', ' ', 'g'), '^ | $', '', 'g'), '[`*_]', '', 'g')"
+_CLAUSES = "[;；]|additionally|furthermore|moreover|in addition|另外|此外|并且|同时"
+_TASKS = "|".join(TASK_WORDS + TASK_WORDS_ZH)
+_CHAINED = rf"\b({TASK_VERBS})\b.{{0,220}}\b(and|then)\b.{{0,220}}\b({TASK_VERBS})\b"
+_CHAINED_ZH = rf"({TASK_VERBS_ZH}).{{0,120}}(并|并且|且|同时|再).{{0,120}}({TASK_VERBS_ZH})"
+
+
+def multi_task(problem: Column) -> Column:
+    """Two question marks, task words in two clauses, two of them with a connector, or two task verbs joined by a word for and."""
+    norm, raw = T.normalize_text(problem), F.coalesce(problem, F.lit(""))
+    marks = (F.regexp_count(norm, F.lit(r"\?")) >= 2) | (F.regexp_count(raw, F.lit("？")) >= 2)
+    clauses = F.size(F.filter(F.split(F.lower(raw), _CLAUSES), lambda c: c.rlike(_TASKS))) >= 2
+    named = sum((F.when(norm.contains(w), 1).otherwise(0) for w in TASK_WORDS), F.lit(0)) + sum((F.when(raw.contains(w), 1).otherwise(0) for w in TASK_WORDS_ZH), F.lit(0))
+    joined = (named >= 2) & norm.rlike("|".join(CONNECTORS))
+    return marks | clauses | joined | norm.rlike(_CHAINED) | raw.rlike(_CHAINED_ZH)
 
 
 def has_placeholder(norm: Column) -> Column:
@@ -27,12 +48,14 @@ def has_placeholder(norm: Column) -> Column:
 
 def surface_error(problem: Column) -> Column:
     n = T.normalize_text(problem)
-    return F.when(F.length(n) < 8, "too_short").when(multi_task(n), "multi_task").when(has_placeholder(n), "placeholder")
+    return F.when(F.length(n) < 8, "too_short").when(multi_task(problem), "multi_task").when(has_placeholder(n), "placeholder")
 
 
+_NAMED = " + ".join([f"contains(n, '{w}')::INT" for w in TASK_WORDS] + [f"contains(p, '{w}')::INT" for w in TASK_WORDS_ZH])
 SURFACE_SQL = rf"""SELECT row_id, CASE WHEN length(n) < 8 THEN 'too_short'
-WHEN len(regexp_extract_all(n, '\?')) >= 2 OR regexp_matches(n, '\b({TASK_WORDS})\b.{{0,220}}\b(and|then)\b.{{0,40}}\b({TASK_WORDS})\b') THEN 'multi_task'
-WHEN regexp_matches(n, '{"|".join(PLACEHOLDERS)}') THEN 'placeholder' END AS reason FROM (SELECT row_id, {_NORM} AS n FROM math_train)"""
+WHEN len(regexp_extract_all(n, '\?')) >= 2 OR len(regexp_extract_all(p, '？')) >= 2 OR len(list_filter(regexp_split_to_array(lower(p), '{_CLAUSES}'), lambda c: regexp_matches(c, '{_TASKS}'))) >= 2
+  OR ({_NAMED} >= 2 AND regexp_matches(n, '{"|".join(CONNECTORS)}')) OR regexp_matches(n, '{_CHAINED}') OR regexp_matches(p, '{_CHAINED_ZH}') THEN 'multi_task'
+WHEN regexp_matches(n, '{"|".join(PLACEHOLDERS)}') THEN 'placeholder' END AS reason FROM (SELECT row_id, coalesce(problem, '') AS p, {_NORM} AS n FROM math_train)"""
 
 
 def answer_verdict() -> Column:

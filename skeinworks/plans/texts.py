@@ -52,8 +52,9 @@ def relation_counts(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "math_train").select("row_id", T.relation_count(F.col("problem")).alias("relations"))
 
 
-_HEAD = rf"regexp_extract({norm_sql('problem')}, '(?s)^(.*)\b({T.QUERY_VERBS})\b', 1)"
-SKELETON_SQL = rf"regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(CASE WHEN length(trim({_HEAD})) > 0 THEN {_HEAD} ELSE {norm_sql('problem')} END, '[0-9]+(\.[0-9]+)?', 'N', 'g'), '\b[a-z][0-9]*\b', 'v', 'g'), ' +', ' ', 'g')), '^$', '')"
+_PATTERN = rf"(?is)^(.*)\b({T.QUERY_VERBS})\b"
+_BODY = norm_sql(rf"CASE WHEN regexp_matches(coalesce(problem, ''), '{_PATTERN}') THEN regexp_extract(problem, '{_PATTERN}', 1) ELSE problem END")
+SKELETON_SQL = rf"trim(regexp_replace(regexp_replace(regexp_replace({_BODY}, '\b[0-9]+\b', 'N', 'g'), '\b[a-z][0-9]*\b', 'v', 'g'), ' +', ' ', 'g'))"
 
 
 @query("skeleton_dups", f"SELECT skeleton, count(*) AS n, min(synth_id) AS first_id FROM (SELECT synth_id, {SKELETON_SQL} AS skeleton FROM synth_refill) WHERE len(string_split(skeleton, ' ')) >= 8 GROUP BY skeleton HAVING count(*) > 1")
@@ -69,8 +70,9 @@ def surface_ok(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "math_train").select("row_id", V.surface_error(F.col("problem")).alias("reason"))
 
 
-@query("free_symbols", r"""SELECT row_id, array_to_string(list_sort(d), ',') AS declared, array_to_string(list_sort(a), ',') AS assigned, len(list_filter(d, lambda x: NOT list_contains(a, x)))::INT AS unresolved FROM (
-  SELECT row_id, list_distinct(regexp_extract_all(coalesce(problem, ''), '(?i)let \$([a-z])\$', 1)) AS d, list_distinct(regexp_extract_all(coalesce(problem, ''), '([a-z]) = -?[0-9]', 1)) AS a FROM math_train)""")
+@query("free_symbols", rf"""SELECT row_id, array_to_string(list_sort(d), ',') AS declared, array_to_string(list_sort(a), ',') AS assigned, len(list_filter(d, lambda x: NOT list_contains(a, x)))::INT AS unresolved FROM (
+  SELECT row_id, list_distinct(list_filter(list_transform(flatten(list_transform(list_concat(regexp_extract_all(p, '{T.DECLARED[0]}', 1), regexp_extract_all(p, '{T.DECLARED[1]}', 1)), lambda x: string_split(x, ','))), lambda x: trim(x)), lambda x: x <> '')) AS d,
+  list_distinct(regexp_extract_all(p, '{T.ASSIGNED}', 1)) AS a FROM (SELECT row_id, coalesce(problem, '') AS p FROM math_train))""")
 def free_symbols(spark, sf_dir: str) -> DataFrame:
     m = table(spark, sf_dir, "math_train").select("row_id", T.declared_symbols(F.col("problem")).alias("d"), T.assigned_symbols(F.col("problem")).alias("a"))
     return m.select("row_id", F.array_join(F.array_sort("d"), ",").alias("declared"), F.array_join(F.array_sort("a"), ",").alias("assigned"), F.size(F.array_except("d", "a")).alias("unresolved"))

@@ -37,8 +37,9 @@ def value(spark, f, x, kind="string"):
         (T.body_skeleton, "Let x = 3. Find y.", "let v = N."),
         (T.strip_step_label, "Step 2: add", "add"),
         (T.strip_step_label, "步骤3：加", "加"),
-        (T.declared_symbols, "Let $a$ and let $b$ be", ["a", "b"]),
-        (T.assigned_symbols, "a = 3, b = x", ["a"]),
+        (T.declared_symbols, "for real numbers x, y; let a, b be integer", ["x", "y", "a", "b"]),
+        (T.declared_symbols, "let x be real", []),
+        (T.assigned_symbols, "a = 3, b= x, a = 4", ["a", "b"]),
         (T.to_bool, "Yes", True),
         (T.to_bool, "maybe", False),
         (T.tagged_question, "a <q> body\n</Q> b", "body"),
@@ -67,7 +68,7 @@ def test_jaccard_of_empty_sets(spark):
     assert [r[0] for r in row.select(T.jaccard(F.col("a"), F.col("b"))).collect()] == [0.0, 0.5]
 
 
-@pytest.mark.parametrize("text,want", [("hi", "too_short"), ("What is x? What is y?", "multi_task"), ("Find x and then compute y", "multi_task"), ("Find the value, to be determined", "placeholder"), ("Find the value of x", None), (None, "too_short")])
+@pytest.mark.parametrize("text,want", [("hi", "too_short"), ("What is x? What is y?", "multi_task"), ("Find x and then compute y", "multi_task"), ("Find the sum of certain steps", "placeholder"), ("Find x; compute y", "multi_task"), ("求出 x 并且计算 y 的值是多少", "multi_task"), ("Find the value of x", None), (None, "too_short")])
 def test_surface(spark, text, want):
     assert value(spark, validate.surface_error, text) == want
 
