@@ -144,5 +144,7 @@ def value_sets(values: np.ndarray, own: np.ndarray, n: int) -> tuple[np.ndarray,
     """Sorted distinct 50-bit values of each owner (fewer than 16384), and offsets."""
     if n > 1 << (64 - SET_BITS):
         raise ValueError("too many texts at a time")
-    key = np.unique(own.astype(np.uint64) << np.uint64(SET_BITS) | values >> np.uint64(64 - SET_BITS))
+    key = own.astype(np.uint64) << np.uint64(SET_BITS) | values >> np.uint64(64 - SET_BITS)
+    key.sort()  # plain sorting is far faster here than np.unique's hash table
+    key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
     return key & np.uint64(2**SET_BITS - 1), np.searchsorted(key >> np.uint64(SET_BITS), np.arange(n + 1))
