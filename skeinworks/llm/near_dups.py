@@ -12,9 +12,11 @@ alike if their Jaccard similarity reaches a threshold, groups are the connected
    chosen from the frequencies such that a combination is expected in few records. Sets too short for the
    extension go through tiers with fewer groups or none; tiers overlap by a factor 1 / t in size.
 3. Signatures with the record's size and 128 parity bits are grouped; a pair must agree in size and in
-   parity distance (an exact bound of the symmetric difference) to become a candidate. Signatures shared by
-   more than BLOCK records are cut into blocks, and each two blocks meet in a task of their own.
+   parity distance (an exact bound of the symmetric difference) to become a candidate. Of signatures met by
+   more than FULL records, only neighbours become candidates at first.
 4. Candidates are verified exactly on the two token sets, and linked records grouped by connected components.
+   Of the crowded signatures, records that are by then in different groups are compared, in blocks of BLOCK
+   rows, each two blocks in a task of their own: no pair within a group is repeated, and none between groups is left out.
 
 Exact copies collapse before step 2 to one node (a 64-bit hash of the set), so a group of copies costs
 one node however large it is.
@@ -46,7 +48,9 @@ SKETCH_BITS = 24
 RARE = 64
 GROUPS = 8
 LONG = 24
+FULL = 1024
 BLOCK = 8192
+NEIGHBOURS = 4
 CHUNK = 8192
 SEEN = 500_000
 NODE_FILTER_BITS = 1 << 28
@@ -314,12 +318,10 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([none, pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int32()), none, none, pa.nulls(len(a), pa.int32())], names=_PAIR)
 
 
-def _pairs_within(sig, node, n, lo, hi, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidates among rows sorted by (sig, node)."""
-    first = np.r_[True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])] if len(sig) else np.zeros(0, bool)
-    sig, node, n, lo, hi = (x[first] for x in (sig, node, n, lo, hi))
+def _pairs_within(sig, node, n, lo, hi, num: int, den: int, reach: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates among distinct rows sorted by (sig, node); with reach, only rows so close together."""
     at, shift = np.arange(len(sig)), 1
-    while True:
+    while reach is None or shift <= reach:
         at = at[at + shift < len(sig)]
         at = at[sig[at] == sig[at + shift]]
         if not len(at):
@@ -339,66 +341,93 @@ def _unique_pairs(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return _pair_batch(a[first], b[first])
 
 
-def _bucket_pairs(num: int, den: int, block: int):
-    """Streams rows sorted by (sig, node): pairs of each signature, or its rows in numbered blocks if it has too many."""
+def _bucket_pairs(num: int, den: int, full: int, block: int):
+    """Streams rows sorted by (sig, node): pairs of each signature; of crowded ones neighbours, and the rows in numbered blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry, hot, count = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int64, np.int64)], None, 0
+        carry, crowded, count = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int64, np.int64)], None, 0
         parts, held = [], 0
 
-        def hot_rows(rows: list[np.ndarray]) -> pa.RecordBatch:
-            nonlocal count
-            number = (count + np.arange(len(rows[0]))) // block
-            count += len(rows[0])
-            return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.nulls(len(rows[0]), pa.int64()), *(pa.array(x) for x in rows[2:]), pa.array(number.astype(np.int32))], names=_PAIR)
+        def hot_rows(rows: list[np.ndarray], place: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.nulls(len(place), pa.int64()), *(pa.array(x) for x in rows[2:]), pa.array((place // block).astype(np.int32))], names=_PAIR)
+
+        def add(rows: list[np.ndarray], reach: int | None = None) -> None:
+            nonlocal held
+            for p in _pairs_within(*rows, num, den, reach):
+                parts.append(p)
+                held += len(p[0])
+
+        def whole(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            """Rows of signatures that are complete."""
+            if not len(rows[0]):
+                return
+            start = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])
+            size = np.diff(np.r_[start, len(rows[0])])
+            big = np.repeat(size > full, size)
+            add([x[~big] for x in rows])
+            if big.any():
+                add([x[big] for x in rows], NEIGHBOURS)
+                yield hot_rows([x[big] for x in rows], (np.arange(len(big)) - np.repeat(start, size))[big])
 
         for b in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-            rows = [np.concatenate(x) for x in zip(carry, new)]
+            rows = [np.concatenate(x) for x in zip(carry, (c.to_numpy(zero_copy_only=False) for c in b.columns))]
+            first = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])][: len(rows[0])]
+            rows = [x[first] for x in rows]
             if not len(rows[0]):
                 continue
-            if hot is not None:
-                end = int(np.searchsorted(rows[0], hot, "right"))
-                if end:
-                    yield hot_rows([x[:end] for x in rows])
-                rows = [x[end:] for x in rows]
-                if not len(rows[0]):
-                    carry = rows
+            if crowded is not None:  # more rows of a signature that did not fit
+                end = int(np.searchsorted(rows[0], crowded, "right"))
+                add([x[:end] for x in rows], NEIGHBOURS)
+                if end > 1:  # the row carried for its neighbours went out before
+                    yield hot_rows([x[1:end] for x in rows], count + np.arange(end - 1))
+                    count += end - 1
+                if end == len(rows[0]):
+                    carry = [x[-1:] for x in rows]
                     continue
-                hot = None
+                rows, crowded = [x[end:] for x in rows], None
             cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))
-            for p in _pairs_within(*(x[:cut] for x in rows), num, den):
-                parts.append(p)
-                held += len(p[0])
+            yield from whole([x[:cut] for x in rows])
             carry = [x[cut:] for x in rows]
-            if len(carry[0]) > block:
-                hot, count = carry[0][0], 0
-                yield hot_rows(carry)
-                carry = [x[:0] for x in carry]
+            if len(carry[0]) > max(full, block):
+                crowded, count = carry[0][0], len(carry[0])
+                add(carry, NEIGHBOURS)
+                yield hot_rows(carry, np.arange(count))
+                carry = [x[-1:] for x in carry]
             if held > 1 << 20:
                 yield _unique_pairs(parts)
                 parts, held = [], 0
-        parts += list(_pairs_within(*carry, num, den))
+        if crowded is None:
+            yield from whole(carry)
         yield _unique_pairs(parts)
 
     return run
 
 
-def _block_pairs(num: int, den: int):
-    """Pairs of two blocks of one signature; rows come sorted by (sig, low, high, block), block pair by block pair."""
+_CROSS = ["sig", "low", "high", "block", "node", "grp", "n", "b0", "b1"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = None
 
-        def meet(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            _, low, high, block, node, n, lo, hi = rows
-            left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
-            for i in left.tolist():
-                to = right[right > i] if low[0] == high[0] else right
-                ok = _may_be_alike(n[i : i + 1], n[to], lo[i : i + 1], lo[to], hi[i : i + 1], hi[to], num, den) & (node[to] != node[i])
+def _block_pairs(num: int, den: int):
+    """Pairs of two blocks of one signature between different groups; rows come block pair by block pair."""
+
+    def meet(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, low, high, block, node, grp, n, lo, hi = rows
+        left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
+        parts, held = [], 0
+        for g in np.unique(grp[left]):
+            others = right[grp[right] != g]
+            for i in left[grp[left] == g].tolist():
+                to = others[others > i] if low[0] == high[0] else others
+                ok = _may_be_alike(n[i : i + 1], n[to], lo[i : i + 1], lo[to], hi[i : i + 1], hi[to], num, den)
                 if ok.any():
-                    yield _unique_pairs([(np.full(int(ok.sum()), node[i]), node[to[ok]])])
+                    parts.append((np.full(int(ok.sum()), node[i]), node[to[ok]]))
+                    held += len(parts[-1][0])
+            if held > 1 << 20:
+                yield _unique_pairs(parts)
+                parts, held = [], 0
+        yield _unique_pairs(parts)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry = None
         for b in batches:
             new = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             rows = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
@@ -485,7 +514,7 @@ def _merge_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 # The operator
 
 
-def _links(records: DataFrame, sets, num: int, den: int, sketch_bits: int, rare: int, block: int) -> tuple[DataFrame, DataFrame]:
+def _links(records: DataFrame, sets, num: int, den: int, sketch_bits: int, rare: int, full: int, block: int) -> tuple[DataFrame, DataFrame]:
     """members (id, node) of all records, and verified links (a, b) between nodes."""
     spark = records.sparkSession
     first = runtime.materialize(records.mapInArrow(_members_and_counts(sets, sketch_bits), "id long, node long, n int, segment int, counts binary"), "near-members")
@@ -500,17 +529,20 @@ def _links(records: DataFrame, sets, num: int, den: int, sketch_bits: int, rare:
     plan = Plan(num, den, combine, int(quantise(np.array([rare]))[0]))
     shared = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in merged])  # 2^sketch_bits bytes
     indexed = records.mapInArrow(_emit_signatures(sets, plan, sketch_bits, shared), "sig long, node long, n int, b0 long, b1 long")
-    met = runtime.materialize(indexed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_bucket_pairs(num, den, block), _PAIR_DDL), "near-buckets")
-    pairs = met.filter("sig is null").select("a", "b")
+    met = runtime.materialize(indexed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_bucket_pairs(num, den, full, block), _PAIR_DDL), "near-buckets")
+    pairs = runtime.materialize(met.filter("sig is null").select("a", "b").distinct(), "near-pairs")
+    links = runtime.materialize(_verified(records, sets, pairs, num, den), "near-links")
     hot = met.filter("sig is not null")
-    if not hot.isEmpty():
-        last = hot.groupBy("sig").agg(F.max("block").alias("last"))
-        spread = hot.join(last, "sig").select("sig", "block", F.col("a").alias("node"), "n", "b0", "b1", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
-        spread = spread.select("sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "b0", "b1")
-        crossed = spread.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high", "block", "node").mapInArrow(_block_pairs(num, den), _PAIR_DDL)
-        pairs = pairs.unionByName(crossed.select("a", "b"))
-    pairs = runtime.materialize(pairs.distinct(), "near-pairs")
-    return members, runtime.materialize(_verified(records, sets, pairs, num, den), "near-links")
+    if hot.isEmpty():
+        return members, links
+    labels = connected_components(links).select(F.col("node").alias("a"), F.col("component").alias("grp"))
+    marked = runtime.materialize(hot.join(labels, "a", "left").select("sig", F.col("a").alias("node"), F.coalesce("grp", "a").alias("grp"), "n", "b0", "b1", "block"), "near-crowded")
+    mixed = marked.groupBy("sig").agg(F.max("block").alias("last"), F.min("grp").alias("least"), F.max("grp").alias("most")).filter("least < most").select("sig", "last")
+    spread = marked.join(mixed, "sig").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    spread = spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).select(*_CROSS)
+    crossed = spread.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high", "block", "node").mapInArrow(_block_pairs(num, den), _PAIR_DDL)
+    more = runtime.materialize(crossed.select("a", "b").distinct(), "near-pairs")
+    return members, runtime.materialize(links.unionByName(_verified(records, sets, more, num, den)), "near-links")
 
 
 def _verified(records: DataFrame, sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -530,7 +562,7 @@ def _verified(records: DataFrame, sets, pairs: DataFrame, num: int, den: int) ->
     return both.filter(F.col("k") * den >= (F.col("n") - F.col("k")) * num).select("a", "b")
 
 
-def near_duplicates(records: DataFrame, num: int = 4, den: int = 5, least_entries: int = 1, sketch_bits: int = SKETCH_BITS, rare: int = RARE, block: int = BLOCK) -> DataFrame:
+def near_duplicates(records: DataFrame, num: int = 4, den: int = 5, least_entries: int = 1, sketch_bits: int = SKETCH_BITS, rare: int = RARE, full: int = FULL, block: int = BLOCK) -> DataFrame:
     """group_id (smallest id of the group), record_id of every member but that one.
 
     records: id bigint and either text string or items array<string>. Alike: Jaccard similarity of at
@@ -543,7 +575,7 @@ def near_duplicates(records: DataFrame, num: int = 4, den: int = 5, least_entrie
     by_text = "text" in records.columns
     sets = _text_sets if by_text else _list_sets(least_entries)
     records = records.select(F.col("id").cast("long"), "text" if by_text else "items")
-    members, links = _links(records, sets, num, den, sketch_bits, rare, block)
+    members, links = _links(records, sets, num, den, sketch_bits, rare, full, block)
     labels = connected_components(links).select(F.col("node"), F.col("component"))
     placed = runtime.materialize(members.select("id", "node").join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("grp")), "near-placed")
     groups = runtime.materialize(placed.groupBy("grp").agg(F.min("id").alias("group_id"), F.max("id").alias("last"), F.count("*").alias("n")).filter("group_id < last").select("grp", "group_id", "n"), "near-groups")

@@ -55,23 +55,23 @@ def problems(seed, n=60):
     return out
 
 
-@pytest.mark.parametrize("rare,block,bits", [(64, 8192, 20), (1, 8192, 16), (2, 5, 12)])
-def test_problems_like_brute_force(spark, rare, block, bits):
+@pytest.mark.parametrize("rare,full,block,bits", [(64, 1024, 8192, 20), (1, 1024, 8192, 16), (2, 2, 5, 12), (64, 1, 2, 12)])
+def test_problems_like_brute_force(spark, rare, full, block, bits):
     texts = problems(rare) + [None, "", "  ", "Σ!", "σ !", "a b", "A, b.", "x " * 4000]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
     want = groups({i: shingles(t) for i, t in enumerate(texts) if t and t.strip()}, 3, 5)
-    assert rows(N.near_duplicates(df, 3, 5, rare=rare, block=block, sketch_bits=bits)) == want
+    assert rows(N.near_duplicates(df, 3, 5, rare=rare, full=full, block=block, sketch_bits=bits)) == want
     assert want
 
 
-@pytest.mark.parametrize("rare,block", [(64, 8192), (1, 8192), (1, 4)])
-def test_lists_like_brute_force(spark, rare, block):
+@pytest.mark.parametrize("rare,full,block", [(64, 1024, 8192), (1, 1024, 8192), (1, 3, 4)])
+def test_lists_like_brute_force(spark, rare, full, block):
     rng = random.Random(block)
     base = [[f"q{rng.randrange(25)}" for _ in range(rng.randrange(3, 14))] for _ in range(70)]
     lists = base + [b[:-1] + [f"q{rng.randrange(25)}"] for b in base] + [None, [], ["q1"], ["a", "b", "c", "d", None, "d"], ["d", "c", "b", "a"]]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "id long, items array<string>")
     sets = {i: s for i, x in enumerate(lists) if len(s := frozenset(y for y in x or [] if y is not None)) >= 4}
-    assert rows(N.near_duplicates(df, 3, 4, least_entries=4, rare=rare, block=block, sketch_bits=14)) == groups(sets, 3, 4)
+    assert rows(N.near_duplicates(df, 3, 4, least_entries=4, rare=rare, full=full, block=block, sketch_bits=14)) == groups(sets, 3, 4)
 
 
 def test_copies_null_ids_and_extra_columns(spark):
@@ -84,7 +84,7 @@ def test_one_group_of_copies_and_variants_in_blocks(spark):
     base = " ".join(f"t{i}" for i in range(30))
     texts = [base] * 50 + [base + f" extra{i}" for i in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    assert rows(N.near_duplicates(df, 3, 5, rare=1, block=8, sketch_bits=12)) == {(0, i) for i in range(1, 110)}
+    assert rows(N.near_duplicates(df, 3, 5, rare=1, full=4, block=8, sketch_bits=12)) == {(0, i) for i in range(1, 110)}
 
 
 def test_empty(spark):
@@ -122,3 +122,16 @@ def test_latin_words_of_bytes():
     texts = [None, "", "abc DEF", "déjà-vu", "K İx", "日本abc", "a", "b"]
     h, off = tx.hash_latin_words(pa.array(texts))
     assert np.diff(off).tolist() == [len(re.findall("[a-z0-9]+", (t or "").lower())) for t in texts]
+
+
+def test_crowded_signatures_stream_over_batches():
+    """Rows of one signature over many batches: every row goes out once, in blocks, and neighbours are paired."""
+    import pyarrow as pa
+
+    node = np.arange(50, dtype=np.int64)
+    cols = [np.full(50, 7), node, np.full(50, 9, np.int32), np.zeros(50, np.int64), np.zeros(50, np.int64)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + 6]) for c in cols], names=["sig", "node", "n", "b0", "b1"]) for i in range(0, 50, 6)]
+    got = [r for b in N._bucket_pairs(3, 5, 4, 10)(iter(batches)) for r in b.to_pylist()]
+    assert sorted((r["a"], r["block"]) for r in got if r["sig"] is not None) == [(i, i // 10) for i in range(50)]
+    pairs = {(r["a"], r["b"]) for r in got if r["sig"] is None}
+    assert {(i, i + 1) for i in range(49)} <= pairs and all(b - a <= N.NEIGHBOURS for a, b in pairs)
