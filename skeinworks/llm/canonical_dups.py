@@ -244,3 +244,25 @@ def p4_found(spark, sf_dir: str) -> DataFrame:
 def p4_collapsed(spark, sf_dir: str) -> DataFrame:
     got = formatting_duplicates(test_table_records(spark, sf_dir)).collapsed
     return got.select(F.col("kind").alias("table_name"), "keep_id", "copies")
+
+
+def _canonical_sql(c: str) -> str:
+    """canonical() for SQL without look-around: points between digits are set aside under private characters."""
+    t = rf"regexp_replace(lower({c}), '\p{{Cf}}', '', 'g')"
+    for mark, aside in ((r"\.", "chr(57344)"), (",", "chr(57345)")):
+        for _ in range(2):  # twice, as matches must not overlap
+            t = rf"regexp_replace({t}, '(\d){mark}(\d)', '\1' || {aside} || '\2', 'g')"
+    gone = ".,;:!?…" + QUOTES.replace("'", "''")
+    return rf"replace(replace(regexp_replace({t}, '[{gone}\s\p{{Z}}\p{{Cf}}\p{{Cc}}]', '', 'g'), chr(57344), '.'), chr(57345), ',')"
+
+
+_FIELDS_SQL = " || chr(31) || ".join(_canonical_sql(f"coalesce(json_extract_string(raw_line, '$.{f}'), '')") for f in JSON_FIELDS)
+_GROUPS_SQL = rf"""
+WITH r AS (
+  SELECT 'math_train' AS table_name, row_id AS id, {_canonical_sql('problem')} AS c FROM math_train WHERE NOT regexp_full_match(problem, '[\s\p{{Z}}]*')
+  UNION ALL SELECT 'synth_refill', synth_id, {_canonical_sql('problem')} FROM synth_refill WHERE NOT regexp_full_match(problem, '[\s\p{{Z}}]*')
+  UNION ALL SELECT 'raw_lines', line_id, {_FIELDS_SQL} FROM (SELECT * FROM raw_lines WHERE json_valid(raw_line)) WHERE json_type(raw_line) = 'OBJECT'),
+g AS (SELECT *, min(id) OVER (PARTITION BY table_name, c) AS keep_id, count(*) OVER (PARTITION BY table_name, c) AS copies FROM r)
+"""
+P4_SQL = _GROUPS_SQL + "SELECT table_name, keep_id, id AS copy_id FROM g WHERE id <> keep_id"
+P4_COLLAPSED_SQL = _GROUPS_SQL + "SELECT table_name, keep_id, copies FROM g WHERE id = keep_id"

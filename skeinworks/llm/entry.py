@@ -26,4 +26,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": quota_sample.P2_SQL, "p5_found": cooccurrence.P5_SQL, "p5_lift": cooccurrence.P5_LIFT_SQL, "p6_found": contamination.P6_SQL}
+    return {"p2_found": quota_sample.P2_SQL, "p4_found": canonical_dups.P4_SQL, "p4_collapsed": canonical_dups.P4_COLLAPSED_SQL, "p5_found": cooccurrence.P5_SQL, "p5_lift": cooccurrence.P5_LIFT_SQL, "p6_found": contamination.P6_SQL}
