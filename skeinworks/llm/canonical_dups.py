@@ -122,25 +122,29 @@ def _numpy(b: pa.RecordBatch, k: int) -> np.ndarray:
 
 
 def _build_filter(bits: int):
+    """Two packed bitmaps of a partition: all its hashes, and those it holds more than once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, again = np.zeros(bits, bool), np.zeros(bits, bool)
-        any_row = False
-        for b in batches:
-            if not b.num_rows:
-                continue
-            any_row = True
-            pair = np.stack([_numpy(b, 0), _numpy(b, 1)], axis=1)
-            uniq, n = np.unique(pair, axis=0, return_counts=True)
-            pos = _positions(uniq[:, 0].copy(), uniq[:, 1].copy(), bits)
-            hit = once[pos].all(axis=0) | (n > 1)
-            again[pos[:, hit].ravel()] = True
-            once[pos.ravel()] = True
-        if any_row:
-            yield from _segments(np.packbits(once), np.packbits(again))
+        parts = [np.stack([_numpy(b, 0), _numpy(b, 1)], axis=1) for b in batches if b.num_rows]
+        if not parts:
+            return
+        pair = np.concatenate(parts)
+        pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
+        start = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)])
+        several = np.diff(np.r_[start, len(pair)]) > 1
+        pos = _positions(pair[start, 0].copy(), pair[start, 1].copy(), bits)
+        once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        _set_bits(once, pos.ravel())
+        _set_bits(again, pos[:, several].ravel())
+        yield from _segments(once, again)
 
     return run
 
 
+def _set_bits(packed: np.ndarray, positions: np.ndarray) -> None:
+    np.bitwise_or.at(packed, positions >> np.uint64(3), np.uint8(128) >> (positions & np.uint64(7)).astype(np.uint8))
+
+
 def _segments(once: np.ndarray, again: np.ndarray) -> Iterator[pa.RecordBatch]:
     size = min(SEGMENT_BYTES, len(once))
     for k in range(len(once) // size):
