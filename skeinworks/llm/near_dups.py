@@ -483,10 +483,10 @@ def _in_filter(bitmap: np.ndarray, nodes: np.ndarray) -> np.ndarray:
 
 def _fill_filter(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        on = np.zeros(bits, bool)
+        packed = np.zeros(bits // 8, np.uint8)
         for b in batches:
-            on[_filter_places(b.column(0).to_numpy(zero_copy_only=False), bits).ravel()] = True
-        packed = np.packbits(on, bitorder="little")
+            at = _filter_places(b.column(0).to_numpy(zero_copy_only=False), bits).ravel()
+            np.bitwise_or.at(packed, at >> U(3), np.uint8(1) << (at & U(7)).astype(np.uint8))
         size = min(1 << 16, len(packed))
         for k in range(len(packed) // size):
             part = packed[k * size : (k + 1) * size]
