@@ -6,9 +6,13 @@ table is small whatever the input), and for each defect a two-class model with a
 probabilities for each function is fitted to the pattern counts by EM. A row keeps every defect whose
 posterior exceeds the cutoff; the cutoffs are held to a labelled fixture in tests/llm.
 
-Unfinished last steps are told from those that only lack a full stop by the endings of all steps of the
-corpus: an ending that many steps share is a finished one. Endings are kept only from a share of
-1 / ENDINGS of all steps upwards, so the broadcast table has at most ENDINGS entries.
+Unfinished last steps are told from those that only lack a full stop by how the corpus goes on after the
+same words: for the last words of such a step (1 to 4, in scripts without spaces 4 to 8 characters), the
+share of their occurrences that stand directly before an end mark or end a step that is not the last one.
+Longer runs count over shorter ones as far as they are seen; places before a bracket do not count. Last
+steps without an end mark do not vouch for their ending, so a break that recurs stays one, and shares do not
+depend on the size of the corpus. Only runs that some step asks for are counted, told by a filter of at most
+FILTER_BITS that is broadcast; a full filter only costs a larger shuffle.
 
 Defined results: null fields count as blank, null steps as missing; a row delivered twice gives one result; rows with
 a null id give none; 'wrong problem' as final answer is a valid outcome; an empty table gives an empty
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinworks import runtime
+from skeinworks.llm import near_dups
+from skeinworks.llm import textops as tx
 
 DEFECTS = ("refusal", "copied_question", "other_language", "truncated_answer", "empty_answer")
 FUNCTIONS = {"refusal": 4, "copied_question": 4, "other_language": 4, "truncated_answer": 4, "empty_answer": 3}
 CUTOFFS = {"refusal": 0.5, "copied_question": 0.5, "other_language": 0.5, "truncated_answer": 0.5, "empty_answer": 0.5}
-ENDINGS = 20_000
-ENDING = 7
 ROUNDS = 50
+FILTER_BITS = 1 << 26
+BITS_PER_RUN = 16
+FINISHED = 0.5
+# By the kind of the last token: lengths of the runs, and the share where nothing was seen. A number, a closed formula or
+# a single letter (i.e., d. h.) may stand before a mark anywhere, so it is judged with the words before it.
+RUNS = {"word": ((1, 2, 3, 4), 0.1), "letter": ((2, 3, 4), 0.1), "sign": ((4, 6, 8), 0.1), "whole": ((3, 4), 0.6)}
 
 # Function words by which the languages in Latin script are told apart.
 STOP = {
@@ -53,6 +64,11 @@ _letters = re.compile(r"[^\W\d_]+")
 _end = re.compile(r"[.!?。！？।؟॥…][\"'”’»」』)\]*]*\s*$|[\]}$]\s*$")
 _real_end = re.compile(r"[.!?。！？।؟॥][\"'”’»」』)\]*]*\s*$")
 _not_word = re.compile(r"[\W_]+")
+# Numbers, single characters of scripts without spaces, words with their vowel signs, other signs.
+_UNSPACED = "\u0e01-\u0e4e\u0e80-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff"
+_token = re.compile(rf"\d+(?:[.,]\d+)*|[{_UNSPACED}]|(?:(?![{_UNSPACED}])[^\W\d_]|[\u0300-\u036f\u064b-\u065f\u0900-\u0963\u0970-\u0dff])+|\S")
+_unspaced = re.compile(f"[{_UNSPACED}]")
+_END_MARKS = frozenset(".!?。！？।؟॥")
 _dangling = re.compile(r"(?:[+\-=*/^<>,:(\[{]|\\[a-zA-Z]+|\b(?:the|of|a|an|and|or|to|is|in|by|that|with|for|we|so|as|from|number|hence|now))\s*$", re.I)
 
 _apology = re.compile(
@@ -147,24 +163,42 @@ def _strip(text: str | None) -> str:
     return text.strip()
 
 
-def ending(step: str) -> str:
-    """The last characters of a step, numbers as one sign, without end marks."""
-    s = _label.sub("", step.strip().lower())
-    return re.sub(r"\d+(?:[.,]\d+)*", "9", s.rstrip(" .!?。！？।؟"))[-ENDING:]
+def tokens(step: str) -> list[str]:
+    """The tokens of a step behind a sign for its start, numbers as one sign."""
+    return ["\n", *("9" if x[0].isdigit() else x for x in _token.findall(_label.sub("", step.strip().lower())))]
+
+
+def _run_keys(h: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
+    """A key for the run of k tokens that ends at each place; 0 where a step has no such run."""
+    out = np.zeros(len(h), np.uint64)
+    out[k - 1 :] = tx.mix(tx.run_hashes(h, k) + np.uint64(k))
+    out[np.arange(len(h)) - np.repeat(offsets[:-1], np.diff(offsets)) < k - 1] = 0
+    return out
+
+
+def ending_keys(step: str) -> tuple[list[int], float]:
+    """Keys of the runs that end a step, shortest first, and the share of finished ones if none was seen."""
+    words = tokens(step)
+    last = words[-1]
+    lengths, share = RUNS["whole" if last[0].isdigit() or last in ")]}$%°" else "sign" if _unspaced.match(last) else "letter" if len(last) == 1 else "word"]
+    lengths = [k for k in lengths if k <= len(words)] or [len(words)]
+    h = tx.hash_strings(words)
+    return [int(_run_keys(h[-k:], np.array([0, k]), k)[-1:].view(np.int64)[0]) for k in lengths], share
 
 
 def _vote(yes: bool, no: bool) -> str:
     return "+" if yes else "-" if no else "0"
 
 
-def votes(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None, endings: frozenset[str]) -> dict[str, str]:
-    """The labelling functions' votes for each defect."""
+def votes(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None) -> tuple[dict[str, str], str, str]:
+    """The labelling functions' votes for each defect, with an open last step taken as unfinished; the votes for
+    truncated_answer with that step taken as finished; and the last step."""
     problem, final = _strip(problem), _strip(final)
     raw = [x for s in steps or [] if (x := _strip(s))]
     bodies = [_lead.sub("", _label.sub("", s)) for s in raw]
     prose = [b for b in bodies if b]
     if _plain(final) in ("wrongproblem",):
-        return {d: "-" * n for d, n in FUNCTIONS.items()}
+        return {d: "-" * n for d, n in FUNCTIONS.items()}, "-" * FUNCTIONS["truncated_answer"], ""
     out: dict[str, str] = {}
 
     # empty_answer
@@ -228,36 +262,96 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
     last = raw[-1] if raw else ""
     core = _label.sub("", last)
     label_only = bool(last) and not core.strip()
-    usual = ending(last) in endings
     closed = bool(_real_end.search(core))
     open_maths = core.count("$") % 2 == 1 or core.count("{") > core.count("}") or core.count("(") > core.count(")") and not closed
-    broken = bool(last) and not closed and (not usual or open_maths or bool(_dangling.search(core)))
+    unfinished = bool(last) and not closed
+    surely = unfinished and (open_maths or bool(_dangling.search(core)))
     cut_final = bool(final) and not none and (final.count("{") > final.count("}") or final.count("(") > final.count(")") or final.count("$") % 2 == 1 or bool(_dangling.search(final)) or bool(re.search(r"\\[a-zA-Z]+$", final)) and not math_sign)
     if re.search(r"\\(?:emptyset|infty|pi|varnothing)$", final):
         cut_final = False
-    sound = not broken and not label_only and not cut_final
-    out["truncated_answer"] = _vote(broken or label_only, sound) + _vote(cut_final, sound) + _vote(broken or label_only or cut_final, sound) + _vote((finish or "").strip().lower() in ("length", "max_tokens") and not sound, False)
-    return out
+    stopped = (finish or "").strip().lower() in ("length", "max_tokens")
 
+    def truncated(broken: bool) -> str:
+        sound = not broken and not label_only and not cut_final
+        return _vote(broken or label_only, sound) + _vote(cut_final, sound) + _vote(broken or label_only or cut_final, sound) + _vote(stopped and not sound, False)
 
-_ROW = "answer_id long, pattern string"
+    out["truncated_answer"] = truncated(unfinished)
+    return out, truncated(surely), last
 
 
-def _vote_batches(shared):
+_ROW = "answer_id long, pattern string, if_finished string, keys array<long>, unseen double"
+
+
+def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, *fields = (b.column(i).to_pylist() for i in range(b.num_columns))
+        got = []
+        for row in zip(*fields):
+            out, finished, last = votes(*row)
+            asks = finished != out["truncated_answer"]
+            keys, unseen = ending_keys(last) if asks else (None, None)
+            got.append(("|".join(out[d] for d in DEFECTS), "|".join((out | {"truncated_answer": finished})[d] for d in DEFECTS) if asks else None, keys, unseen))
+        pattern, other, keys, unseen = zip(*got) if got else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(pattern, pa.string()), pa.array(other, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(unseen, pa.float64())], names=["answer_id", "pattern", "if_finished", "keys", "unseen"]
+        )
+
+
+def _count_batches(bits: int, shared):
+    """For each run that is asked for: occurrences that end something, and others. Open last steps' ends are left out."""
+    lengths = sorted({k for ks, _ in RUNS.values() for k in ks} | {2})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        endings = shared.value
+        wanted = np.zeros(bits // 8, np.uint8)
+        size = min(1 << 16, len(wanted))
+        for k, blob in shared.value:
+            wanted[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(blob), np.uint8)
         for b in batches:
-            ids, *fields = (b.column(i).to_pylist() for i in range(b.num_columns))
-            got = ["|".join(v[d] for d in DEFECTS) for row in zip(*fields) for v in (votes(*row, endings),)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(got, pa.string())], names=["answer_id", "pattern"])
+            lists, inner = [], []
+            for steps in b.column(0).to_pylist():
+                raw = [x for s in steps or [] if (x := _strip(s))]
+                lists += [tokens(x) for x in raw]
+                inner += [True] * (len(raw) - 1) + [False] * bool(raw)
+            if not lists:
+                continue
+            h, offsets = tx.hash_word_lists(lists)
+            mark = np.isin(h, tx.hash_strings(sorted(_END_MARKS)))
+            aside = np.isin(h, tx.hash_strings(["(", "（"]))  # a bracket does not tell whether the sentence goes on
+            final = offsets[1:] - 1
+            ends = np.append(mark[1:], False)
+            ends[final] = inner
+            counts = np.append(~aside[1:], True)
+            counts[final] = inner
+            keys, done = [], []
+            for k in lengths:
+                key = _run_keys(h, offsets, k).view(np.int64) if len(h) >= k else np.zeros(len(h), np.int64)
+                at = np.flatnonzero(counts & (key != 0))
+                at = at[near_dups._in_filter(wanted, key[at])]
+                keys.append(key[at])
+                done.append(ends[at])
+            key, back = np.unique(np.concatenate(keys), return_inverse=True)
+            ended = np.bincount(back, weights=np.concatenate(done), minlength=len(key)).astype(np.int64)
+            total = np.bincount(back, minlength=len(key)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ended), pa.array(total)], names=["key", "ended", "total"])
 
     return run
 
 
-def _ending_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        got = [ending(s) for steps in b.column(0).to_pylist() for s in steps or [] if s and s.strip()]
-        yield pa.RecordBatch.from_arrays([pa.array(got, pa.string())], names=["ending"])
+def _finished_endings(answers: DataFrame, voted: DataFrame) -> DataFrame:
+    """asked: the longest run of each ending that is asked for and found to end something. voted: rows of _ROW."""
+    spark = answers.sparkSession
+    asked = runtime.materialize(voted.filter("keys is not null").groupBy(F.element_at("keys", -1).alias("asked")).agg(F.min("keys").alias("keys"), F.min("unseen").alias("unseen")), "endings")
+    runs = asked.select(F.explode("keys").alias("key"))
+    bits = 1 << 16
+    while bits < min(FILTER_BITS, BITS_PER_RUN * runs.count()):
+        bits *= 2
+    filled = runs.coalesce(8).mapInArrow(near_dups._fill_filter(bits), "segment int, blob binary").repartition("segment").sortWithinPartitions("segment")
+    shared = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in filled.mapInArrow(near_dups._merge_filter, "segment int, blob binary").collect()])
+    counted = answers.select("solution_steps").mapInArrow(_count_batches(bits, shared), "key long, ended long, total long").groupBy("key").agg(F.sum("ended").alias("ended"), F.sum("total").alias("total"))
+    levels = asked.select("asked", "unseen", F.posexplode("keys").alias("level", "key")).join(counted, "key", "left").fillna(0, ["ended", "total"])
+    seen = levels.groupBy("asked").agg(F.min("unseen").alias("unseen"), F.array_sort(F.collect_list(F.struct("level", "ended", "total"))).alias("levels"))
+    share = F.aggregate("levels", F.col("unseen"), lambda s, x: (x["ended"] + s) / (x["total"] + F.lit(1.0)))  # at most four levels
+    return seen.filter(share >= FINISHED).select("asked")
 
 
 def fit(patterns: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -297,13 +391,13 @@ def defects(answers: DataFrame, cutoffs: dict[str, float] | None = None) -> Data
     cutoffs = CUTOFFS | (cutoffs or {})
     spark = answers.sparkSession
     runtime.ship_package(spark)
-    steps = answers.select("solution_steps").mapInArrow(_ending_batches, "ending string")
-    counted = steps.groupBy("ending").agg(F.count("*").alias("n"))
-    total = answers.select(F.sum(F.size(F.coalesce("solution_steps", F.array())))).first()[0] or 0
-    usual = [r[0] for r in counted.filter(F.col("n") >= max(4.0, total / ENDINGS)).select("ending").collect()]  # at most ENDINGS
-    shared = spark.sparkContext.broadcast(frozenset(usual))
     rows = answers.select("answer_id", "problem", "solution_steps", "final_answer", "answer_finish_reason").filter("answer_id is not null")
-    voted = runtime.materialize(rows.mapInArrow(_vote_batches(shared), _ROW).groupBy("answer_id").agg(F.min("pattern").alias("pattern")), "votes")
+    first = runtime.materialize(rows.mapInArrow(_vote_batches, _ROW), "first-votes")
+    finished = _finished_endings(answers, first).withColumn("finished", F.lit(True))
+    judged = first.filter("keys is not null").withColumn("asked", F.element_at("keys", -1)).join(finished, "asked", "left")
+    judged = judged.select("answer_id", F.when(F.col("finished"), F.col("if_finished")).otherwise(F.col("pattern")).alias("pattern"))
+    both = first.filter("keys is null").select("answer_id", "pattern").unionByName(judged)
+    voted = runtime.materialize(both.groupBy("answer_id").agg(F.min("pattern").alias("pattern")), "votes")
     table = voted.groupBy("pattern").agg(F.count("*").alias("n")).collect()  # as many as vote patterns, not rows
     split = [r[0].split("|") for r in table]
     n = np.array([float(r[1]) for r in table])

@@ -81,3 +81,15 @@ def test_label_model_learns_which_function_is_noise():
     post = dict(zip(pats, A.fit(list(pats), n.astype(float))))
     assert post["++-"] > 0.6 and post["--+"] < 0.1 and post["+-+"] < post["++-"]
     assert A.fit([], np.zeros(0)).size == 0
+
+
+def test_recurring_breaks_are_found_and_recurring_endings_are_not(spark):
+    """A break that many rows share does not make itself usual; endings that others close or go on from are told apart."""
+    noun = ["wheels", "ladders", "buckets", "cards"]
+    rows = [(i, (P, [GOOD[0], "Step 2: Dividing by %d gives 22, which matches the count of %s." % (i, noun[i % 4])], "42", "stop")) for i in range(200)]
+    breaks = ["Step 2: Dividing by %d gives 22, which matches the cou", "Step 2: Dividing by %d gives 22", "Step 2: Dividing by %d gives 22, which matches"]
+    rows += [(1000 + i, (P, [GOOD[0], breaks[i % 3] % i], "42", "stop")) for i in range(90)]
+    rows += [(2000 + i, (P, [GOOD[0], "Step 2: Dividing by %d gives 22, which matches the count of %s" % (i, noun[i % 4])], "42", "stop")) for i in range(40)]
+    rows += [(3000 + i, (P, [GOOD[0], "so the value is %d" % i], "42", "stop")) for i in range(40)]
+    got = {r.answer_id: r.defect for r in A.defects(frame(spark, rows).repartition(3)).collect()}
+    assert got == {1000 + i: "truncated_answer" for i in range(90)}
