@@ -1,12 +1,13 @@
 """Mix sources to target token shares by entropy balancing, with capped repeats and actual shares.
 
 Documents are sized in tokens of a public tokenizer. For each mix and source the document rates are the
-ones closest in relative entropy to taking each document once that give the wanted tokens and the
-wanted number of documents (so that a source keeps its mean length): rate = exp(a + b * size), with a, b from
-Newton steps on the convex dual. Gradient and Hessian are sums over documents, taken from a table of
-(source, tokens, bucket) counts: one small distributed aggregate a step, whatever the corpus. Rates are cut
-at max_repeats and become whole copies by systematic rounding along the documents in order of size, so that
-each document gets its rate rounded up or down and the tokens stay near the target.
+ones closest in relative entropy to taking each document once that give the wanted tokens and stay within
+max_repeats: rate = min(max_repeats, exp(b * size)), with b from Newton steps on the dual, kept within bounds that
+hold the solution. So a source of which more is wanted than it has repeats its longer documents more, and one
+of which less is wanted keeps its shorter ones rather. Sums over documents are taken from a table of
+(source, tokens, bucket) counts: one small distributed aggregate a step, whatever the corpus. Rates become
+whole copies by systematic rounding along the documents in order of size, so that each document gets its rate
+rounded up or down and the tokens stay near the target.
 
 The mix's size is the largest at which every source with documents meets its weight. A source so scarce
 that this would shrink the mix below SCARCE of what the other sources allow is repeated to its cap
@@ -22,7 +23,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import exp, isfinite
+from math import log
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -108,14 +109,13 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
     sized = runtime.materialize(docs.mapInArrow(_count_batches(tokenizer), "doc_id long, source string, tokens long").filter("tokens > 0").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")), "mix-sizes")
     cells = runtime.materialize(sized.groupBy("source", "tokens", "bucket").agg(F.count("*").alias("n")), "mix-cells")
     supply = {r[0]: (r[1], r[2]) for r in cells.groupBy("source").agg(F.sum("n"), F.sum(F.col("n") * F.col("tokens"))).collect()}  # named sources only
-    goals = {}  # (mix, source): cap, wanted tokens, wanted rows
+    goals = {}  # (mix, source): cap, wanted tokens
     for mix in {r[0] for r in rules}:
         own = [r for r in rules if r[0] == mix]
         size = total_tokens or _size(own, supply)
         for _, source, weight, cap, _ in own:
             if source in supply and weight > 0 and cap > 0:
-                rate = min(float(cap), weight * size / supply[source][1])
-                goals[mix, source] = (cap, rate * supply[source][1], rate * supply[source][0])
+                goals[mix, source] = (cap, weight * size)
     duals = _newton(spark, cells, supply, goals)
     kind = mixes.schema["mix_id"].dataType.simpleString()
     solved = spark.createDataFrame([(m, s, *duals[m, s], float(goals[m, s][0]), supply[s][1] / supply[s][0]) for m, s in goals], f"mix_id {kind}, source string, a double, b double, cap double, mean double")
@@ -138,32 +138,38 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
 
 
 def _newton(spark, cells: DataFrame, supply: dict, goals: dict) -> dict:
-    """a, b of each mix and source such that the rates give its tokens and rows; all problems step together."""
-    at = {k: (0.0, 0.0) for k in goals}
-    todo = set(goals)
+    """a, b of each mix and source such that min(cap, exp(a + b * tokens / mean)) gives its tokens; all problems step together.
+
+    a is 0 but where even max_repeats of every document is not more than wanted: there each rate is the cap.
+    """
+    at, todo = {}, {}
+    for (m, s), (cap, wanted) in goals.items():
+        rows, tokens = supply[s]
+        if wanted >= cap * tokens * (1 - 1e-12):
+            at[m, s] = (log(cap), 0.0)
+            continue
+        at[m, s] = (0.0, 0.0)
+        # No document is shorter than a token, so between these bounds lies the solution.
+        todo[m, s] = [1.01 * log(wanted / tokens) * tokens / rows, 0.0] if wanted < tokens else [0.0, 1.01 * log(cap) * tokens / rows]
     for _ in range(NEWTON):
         if not todo:
             break
         keys = sorted(todo, key=repr)
-        now = spark.createDataFrame([(i, s, *at[m, s], supply[s][1] / supply[s][0]) for i, (m, s) in enumerate(keys)], "i int, source string, a double, b double, mean double")
+        now = spark.createDataFrame([(i, s, at[m, s][1], log(goals[m, s][0]), supply[s][1] / supply[s][0]) for i, (m, s) in enumerate(keys)], "i int, source string, b double, top double, mean double")
         x = F.col("tokens") / F.col("mean")
-        r = F.exp(F.col("a") + F.col("b") * x) * F.col("n")
-        sums = cells.join(F.broadcast(now), "source").groupBy("i").agg(F.sum(r), F.sum(r * x), F.sum(r * x * x)).collect()
-        for i, s0, s1, s2 in sums:
+        r = F.exp(F.least(F.col("top"), F.col("b") * x)) * F.col("n") * x
+        free = F.when(F.col("b") * x < F.col("top"), r * x).otherwise(0.0)
+        sums = cells.join(F.broadcast(now), "source").groupBy("i").agg(F.sum(r), F.sum(free)).collect()
+        for i, s1, s2 in sums:
             key = keys[i]
-            mean = supply[key[1]][1] / supply[key[1]][0]
-            g0, g1 = s0 - goals[key][2], s1 - goals[key][1] / mean
-            if abs(g0) + abs(g1) <= 1e-9 * (goals[key][2] + 1):
-                todo.discard(key)
+            goal, b, bounds = goals[key][1] * supply[key[1]][0] / supply[key[1]][1], at[key][1], todo[key]
+            if abs(s1 - goal) <= 1e-9 * goal:
+                del todo[key]
                 continue
-            det = s0 * s2 - s1 * s1
-            if det > 1e-9 * s0 * s2:
-                da, db = -(s2 * g0 - s1 * g1) / det, -(s0 * g1 - s1 * g0) / det
-            else:  # all documents of one size: one unknown
-                da, db = -g0 / s0, 0.0
-            step = min(1.0, 2.0 / max(abs(da), abs(db), 1e-12))
-            a, b = at[key][0] + step * da, at[key][1] + step * db
-            at[key] = (a, b) if isfinite(exp(min(a, 700.0))) else at[key]
+            bounds[s1 > goal] = b
+            # In logarithms of the tokens, where documents of one size need one step.
+            new = b + log(goal / s1) * s1 / s2 if s1 > 0 and s2 > 0 else bounds[0]
+            at[key] = (0.0, new if bounds[0] < new < bounds[1] else sum(bounds) / 2)
     return at
 
 

@@ -47,3 +47,17 @@ def test_empty(spark):
     got = mix_sources(docs(spark, []), mixes)
     assert got.copies.count() == 0 and got.report.first().actual_weight == 0
     assert mix_sources(docs(spark, [(1, "x", "a")]), spark.createDataFrame([], MIX)).copies.count() == 0
+
+
+def test_rates_depend_on_size(spark):
+    """Sources are tilted towards long documents where they are repeated, towards short ones where they are thinned, within the cap."""
+    rows = [(i, "word " * (1 + i % 40), "rare") for i in range(400)] + [(1000 + i, "word " * (1 + i % 40), "rich") for i in range(4000)]
+    mixes = spark.createDataFrame([(1, "rare", 0.5, 4), (1, "rich", 0.5, 1)], MIX)
+    got = mix_sources(docs(spark, rows), mixes, total_tokens=40_000)
+    report = {r.source_name: r for r in got.report.collect()}
+    assert report["rare"].met and report["rich"].met and abs(report["rare"].used_tokens - 20_000) <= 100
+    taken = {"rare": {}, "rich": {}}
+    for r in got.copies.collect():
+        taken[r.source_name].setdefault(r.tokens > 20, []).append(r.copies)
+    assert max(taken["rare"][True]) <= 4 and sum(taken["rare"][True]) > 1.5 * sum(taken["rare"][False])
+    assert sum(taken["rich"].get(True, [])) < 0.5 * sum(taken["rich"][False])
