@@ -10,8 +10,9 @@ whole copies by systematic rounding along the documents in order of size, so tha
 rounded up or down and the tokens stay near the target.
 
 The mix's size is the largest at which every source with documents meets its weight. A source so scarce
-that this would shrink the mix below SCARCE of what the other sources allow is repeated to its cap
-instead, and reported as not met, as are sources without documents.
+that this would shrink the mix below scarce (a parameter, SCARCE unless given) of what the other sources allow
+is repeated to its cap instead, and reported as not met, as are sources without documents; scarce = 0 leaves
+none out.
 
 Defined results: sources are compared trimmed and in lower case; null or blank sources, null ids and texts without tokens
 take no part; repeated rows are documents of their own; an empty table gives an empty mixture; extra columns are
@@ -85,19 +86,20 @@ class Mixture:
     report: DataFrame
 
 
-def _size(rules: list, supply: dict[str, tuple[int, int]]) -> float:
-    """Total tokens of a mix."""
+def _size(rules: list, supply: dict[str, tuple[int, int]], scarce: float) -> float:
+    """Total tokens of a mix. A source that allows less than scarce of what the next one does is left out."""
     most = sorted(r[3] * supply[r[1]][1] / r[2] for r in rules if r[2] > 0 and r[3] > 0 and r[1] in supply)
-    while len(most) > 1 and most[0] < SCARCE * most[1]:
+    while len(most) > 1 and most[0] < scarce * most[1]:
         most.pop(0)
     return most[0] if most else 0.0
 
 
-def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZER, total_tokens: int | None = None) -> Mixture:
+def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZER, total_tokens: int | None = None, scarce: float = SCARCE) -> Mixture:
     """Combine documents (doc_id bigint, text string, source string) to the weights of mixes.
 
     mixes: mix_id, source_name, target_weight double, max_repeats int. total_tokens sets the size of every
-    mix instead of the largest possible one.
+    mix instead of the largest possible one. A source that would shrink a mix below scarce of what the next one allows
+    misses its weight instead; with 0 every source with documents meets its weight, however small the mix.
     """
     spark = documents.sparkSession
     runtime.ship_package(spark)
@@ -112,7 +114,7 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
     goals = {}  # (mix, source): cap, wanted tokens
     for mix in {r[0] for r in rules}:
         own = [r for r in rules if r[0] == mix]
-        size = total_tokens or _size(own, supply)
+        size = total_tokens or _size(own, supply, scarce)
         for _, source, weight, cap, _ in own:
             if source in supply and weight > 0 and cap > 0:
                 goals[mix, source] = (cap, weight * size)

@@ -61,3 +61,12 @@ def test_rates_depend_on_size(spark):
         taken[r.source_name].setdefault(r.tokens > 20, []).append(r.copies)
     assert max(taken["rare"][True]) <= 4 and sum(taken["rare"][True]) > 1.5 * sum(taken["rare"][False])
     assert sum(taken["rich"].get(True, [])) < 0.5 * sum(taken["rich"][False])
+
+
+def test_scarce_is_a_parameter(spark):
+    """With scarce = 0 the scarcest source sets the size and every weight is met."""
+    rows = [(i, "word", "a") for i in range(500)] + [(9000, "word", "b")]
+    mixes = spark.createDataFrame([(1, "a", 0.9, 1), (1, "b", 0.1, 2)], MIX)
+    report = {r.source_name: r for r in mix_sources(docs(spark, rows), mixes, scarce=0).report.collect()}
+    assert (report["a"].copies, report["b"].copies) == (18, 2) and report["a"].met and report["b"].met
+    assert not {r.source_name: r for r in mix_sources(docs(spark, rows), mixes).report.collect()}["b"].met
