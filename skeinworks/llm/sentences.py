@@ -5,8 +5,9 @@ rest every place that could end a sentence is a candidate: end marks with their
 brackets, with or without a space behind them, and spaces between Thai letters. The programme picks the
 segmentation with the best sum of span scores; a span is scored as a whole by its closing word (known
 abbreviations, initials, ordinals, numbers, omission dots), the opening word of what follows (case, digit,
-formula, quotation, script), whether quotations and brackets balance within it, and its length. A span holds at
-most SPAN candidates, so time is linear in the text.
+formula, quotation, script), whether quotations and brackets balance within it, and its length. A span may hold any
+number of candidates: starts within LONG characters are tried one by one, of those further back the best of
+each balance state is kept, so time is linear in the text.
 
 Defined results: null, empty and blank texts give no row; positions count code points; repeated rows give
 repeated results unless made distinct; extra columns are ignored. No text is cut short, however long.
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame
 
 from skeinworks import runtime
 
-SPAN = 40
+LONG = 600
+OVER = 0.002
 
 # Abbreviations after which a sentence goes on, lower case, without the last point.
 NEVER = frozenset(
@@ -233,21 +235,38 @@ def _running(block: str, base: int, has_thai: bool, out: list[tuple[int, int]])
     score.append(0.0)
     state.append(straight + 2 * depth + 64 * brackets)
     count = len(place)
-    best, back = [0.0] * count, [0] * count
+    best, back, most = [0.0] * count, [0] * count, [0.0] * count  # most: the best of all starts so far
+    far, far_all, gone = {}, -1, 0  # the best start more than LONG characters back: by balance state, of all; the first nearer one
+
+    def at_far(i: int, k: int) -> bool:
+        return k < 0 or best[i] + OVER * place[i] >= best[k] + OVER * place[k]
+
     for j in range(1, count):
         top, arg, pj, bj = -1e18, j - 1, place[j], state[j]
-        for i in range(j - 1, max(-1, j - 1 - SPAN), -1):
+        while pj - place[gone] > LONG:
+            if at_far(gone, far.get(state[gone], -1)):
+                far[state[gone]] = gone
+            if at_far(gone, far_all):
+                far_all = gone
+            gone += 1
+        for i in range(j - 1, gone - 1, -1):
+            if most[i] <= top:
+                break  # no earlier start can be better
             size = pj - place[i]
             v = best[i]
             if state[i] != bj:
                 v -= 5.0
             if size < 10:
                 v -= 2.0 if size < 3 else 0.3
-            elif size > 600:
-                v -= (size - 600) * 0.002
             if v > top:
                 top, arg = v, i
+        for i in (far.get(bj, -1), far_all):
+            if i >= 0:
+                v = best[i] - (0.0 if state[i] == bj else 5.0) - (pj - place[i] - LONG) * OVER
+                if v > top:
+                    top, arg = v, i
         best[j], back[j] = top + score[j], arg
+        most[j] = max(most[j - 1], best[j])
     cuts, j = [count - 1], count - 1
     while j:
         j = back[j]

@@ -48,6 +48,12 @@ def test_long_text_is_kept_whole():
     assert len(got) == 20_001 and got[-1][1] == len(text)
 
 
+@pytest.mark.parametrize("text", ["He said " + "so ... and " * 100 + "left.", "He sang " + '"So?" asked Ann or ' * 70 + "no."])
+def test_any_number_of_refused_places(text):
+    whole = text + " Then he went."
+    assert [whole[a:b] for a, b in sentences(whole)] == [text, "Then he went."]
+
+
 def test_frame(spark):
     df = spark.createDataFrame([(1, "One. Two.", 5), (2, None, 5), (3, "", 5), (4, " \n ", 5), (1, "One. Two.", 5)], "doc_id long, text string, char_start int")
     assert sorted(tuple(r) for r in split_sentences(df).collect()) == [(1, 0, 4), (1, 0, 4), (1, 5, 9), (1, 5, 9)]
