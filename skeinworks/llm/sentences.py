@@ -3,9 +3,10 @@
 A text is cut at blank lines; headings, displayed formulas and list items are units of their own. In the
 rest every place that could end a sentence is a candidate: end marks with their closing quotes and
 brackets, with or without a space behind them, and spaces between Thai letters. The programme picks the
-segmentation with the best sum of span scores; a span is scored as a whole by its closing word (known
-abbreviations, initials, ordinals, numbers, omission dots), the opening word of what follows (case, digit,
-formula, quotation, script), whether quotations and brackets balance within it, and its length. A span may hold any
+segmentation with the best sum of span scores. The score of a span from one candidate to another is the sum of
+four weighted terms, none of which is a veto: how well its opening word opens a sentence (case, digit, script, a
+quotation, what goes on behind one), how well its closing word and marks close one (known abbreviations, initials,
+ordinals, numbers, omission dots), whether quotations and brackets balance within it, and its length. A span may hold any
 number of candidates: starts within LONG characters are tried one by one, of those further back the best of
 each balance state is kept, so time is linear in the text.
 
@@ -16,7 +17,9 @@ repeated results unless made distinct; extra columns are ignored. No text is cut
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,7 +52,6 @@ _marks = re.compile(r"[.!?…؟۔।॥。！？｡]+|[\"“”„«»‹›「
 _word = re.compile(r"[^\s\"“”„«»()（）\[\]$,;:!?…]*$")
 _thai = re.compile(r"[฀-๿]")
 _thai_space = re.compile(r"(?<=[฀-๏๚-๿])\s+(?=[฀-๏๚-๿])")
-_prev_word = re.compile(r"(\w+)\s+\S*$")
 _OPEN = {"«": 1, "‹": 1, "「": 1, "『": 1, "(": 2, "（": 2, "[": 2, "„": 1, "“": 1}
 _CLOSE = {"»": 1, "›": 1, "」": 1, "』": 1, ")": 2, "）": 2, "]": 2, "”": 1}
 _WIDE = frozenset("。！？｡")
@@ -82,94 +84,175 @@ def _opens(block: str, at: int) -> int:
     return 1 if c.isalpha() else 0
 
 
-def _score(block: str, t: int, e: int, p: int, closer: str) -> float | None:
-    """Log-odds that a sentence ends at p; end marks at t..e, closing characters up to p; None where it cannot."""
-    mark, n = block[t:e], len(block)
-    q = p
-    while q < n and block[q].isspace():
-        q += 1
-    if q == n:
-        return None  # the block's end is a boundary anyway
-    gap, c = q - p, block[q]
-    last = mark[-1]
-    if last in _WIDE:
-        if c in _CONTINUES or c in "とって的" and closer:
-            return None if c in _CONTINUES else -6.0
-        return 4.0
-    looks = _opens(block, q)
+@dataclass(frozen=True)
+class Weights:
+    """What each term of a span's score counts for; 0 leaves the term out."""
+
+    opening: float = 1.0
+    closing: float = 1.0
+    balance: float = 1.0
+    length: float = 1.0
+
+
+WEIGHTS = Weights()
+UNBALANCED = 6.0
+TINY, TINY_COST, SHORT, SHORT_COST = 4, 3.0, 10, 0.3
+
+
+def _opening(block: str, q: int, gap: bool, closer: str, last: str) -> float:
+    """How well a sentence opens at q, behind the mark last and its closing characters."""
+    c, looks = block[q], _opens(block, q)
     if looks == -2:
-        return None
+        return -12.0  # a comma, a dash, a closing mark
     quoted = bool(closer) and closer not in ")）]"
-    if last in _DANDA or (last in "!?" and looks == 1):
-        if quoted and last in "!?؟" and (block.startswith(SAID, q) or "ऀ" <= c <= "ॿ"):
-            return -4.0
-        return 4.0 if gap or not closer else 1.0
+    if last in _WIDE:
+        return -10.0 if closer and c in "とって的" else 1.0
+    if quoted and last in "!?؟" and ("ऀ" <= c <= "ॿ" or block.startswith(SAID, q)):
+        return -7.0  # the verb of saying follows its quotation
+    if looks == -1:
+        return -8.0 if closer else -3.0 if gap else -4.5
+    if looks == 0:
+        return -1.5 if gap else -3.5
+    if c.isdigit():
+        return 0.0 if gap else -0.5
+    if not gap and c in "$(#'‘[*_„「『":
+        return -3.5
+    return 1.0
+
+
+def _closing(block: str, start: int, t: int, e: int, gap: bool, closer: str) -> float:
+    """How well a sentence closes with the word of start to t, end marks to e, and closing characters."""
+    mark = block[t:e]
+    last = mark[-1]
+    if last in _WIDE or last in _DANDA:
+        return 4.0 if gap or not closer or last in _WIDE else 1.0
     if last in "!?":
-        if not gap and looks < 1:
-            return None
-        if closer and looks <= 0:
-            return -6.0
-        return 4.0 if looks > 0 else 1.0
+        return 3.5 if not closer else 2.0 if gap else 1.0
     if last == "…" or len(mark) > 1 and set(mark) == {"."}:
-        if looks < 0 or not gap and looks < 1:
-            return -4.0
-        return 2.0
-    w = _word.search(block, max(0, t - 24), t).group()
+        return 1.0
+    w = block[start:t]
     if "." in w and len(head := w.rpartition(".")[0]) > 1 and w[-1].isalpha() and (head[-1].isdigit() or "." not in head[-3:]):
         w = w.rpartition(".")[2]  # the last sentence ended without a space
+    if closer:
+        return 2.0 if gap else 1.0
     low = w.lower()
-    bare = low.rpartition("-")[2] or low
-    if closer and looks < 0:
-        return None
-    if not closer:
-        if low in NEVER or bare in NEVER:
-            return None
-        if low in BEFORE_NUMBER and (c.isdigit() or c in "(°"):
-            return None
+    if low in NEVER or (low.rpartition("-")[2] or low) in NEVER:
+        return -8.0
+    if not w:
+        return 3.5  # after a formula or bracket
     if not gap:
-        if closer:
-            return 2.0 if looks == 2 and c not in "$(" else None
-        if len(w) < 2 or not (c.isupper() or c in "\"“«¿¡(" or c.isdigit() and w.isalpha() and len(w) > 3 or _is_wide(c) or looks == 1):
-            return None
-        if w[-1].isupper() and not w.isupper() or "." in w and not w[-1].isdigit():
-            return None
-        if w.isupper() and len(w) < 4:
-            return None
-        return 2.0
-    if closer:
-        return 4.0 if looks > 0 else -2.0
-    if not w:  # after a formula or bracket
-        return 4.0 if looks > 0 else (1.0 if looks < 0 else 0.5)
+        odd = len(w) < 2 or w[-1].isupper() and not w.isupper() or "." in w and not w[-1].isdigit() or w.isupper() and len(w) < 4
+        return -8.0 if odd else 1.5 if w.isalpha() and len(w) > 3 else 0.4
+    if low in BEFORE_NUMBER and len(low) > 1:
+        return -0.2  # with a number behind it no end, with a capital one
     if low in MAY_END:
-        return -5.0 if looks < 0 else 2.0
+        return 1.0
     if len(w) == 1 and w.isalpha():
         if low == "д" and block[max(0, t - 4) : t - 1].strip().startswith("т"):
-            return 2.0 if looks == 2 else -5.0
-        if not _is_wide(w):
-            return None
+            return 1.0
+        return 1.0 if _is_wide(w) else -8.0
     if w[-1].isdigit():
-        if w.isdigit() and t - len(w) == 0:
-            return None  # a number in front of the block
-        if w.isdigit() and len(w) <= 2:
-            before = _prev_word.search(block, max(0, t - 40), t)
-            if before and before.group(1).lower() in ORDINAL_AFTER:
-                return None
-        return 3.0 if looks > 0 else -1.5
+        if w.isdigit() and start == 0:
+            return -8.0  # a number in front of the block
+        if w.isdigit() and len(w) <= 2 and _word_before(block, start).lower() in ORDINAL_AFTER:
+            return -8.0
+        return 1.4
     if "." in w and low.replace(".", "").isalpha() and max(map(len, low.split("."))) <= 2:
-        return None
-    if looks > 0:
-        return 4.0 if len(w) > 1 else 1.0
-    return (1.0 if len(w) > 3 else -0.5) if looks < 0 else -1.0
+        return -8.0
+    return 4.0 if len(w) > 3 else 2.4 if len(w) > 1 else 1.2
+
+
+def _word_before(block: str, at: int) -> str:
+    """The word before at, or as many of its last letters as tell that it is in no list of ours."""
+    while at and block[at - 1].isspace():
+        at -= 1
+    k = at
+    while k and at - k < 12 and (block[k - 1].isalnum() or block[k - 1] == "_"):
+        k -= 1
+    return block[k:at]
+
+
+def _word_start(block: str, t: int, known: tuple[int, int]) -> int:
+    """Where the word that ends at t starts. known: end and start of an earlier word, which this one may go on from."""
+    size = 24
+    while True:
+        lo = max(0, t - size)
+        at = _word.search(block, lo, t).start()
+        if at > lo or not lo:
+            return at
+        if lo <= known[0]:
+            return known[1]  # nothing parts the two, so the words are one: no second look at its letters
+        size *= 2
+
+
+def span_score(place: list[int], closes: list[float], opens: list[float], state: list[int], i: int, j: int, weights: Weights) -> float:
+    """The score of the span between places i and j; closes and opens hold their weights already."""
+    size = place[j] - place[i]
+    cost = 0.0 if state[i] == state[j] else UNBALANCED * weights.balance
+    cost += weights.length * ((TINY_COST if size < TINY else SHORT_COST if size < SHORT else 0.0) + max(0, size - LONG) * OVER)
+    return opens[i] + closes[j] - cost
+
+
+def best_cuts(place: list[int], closes: list[float], opens: list[float], state: list[int], weights: Weights) -> list[int]:
+    """The numbers of the places that bound the spans of the best sum of span_score."""
+    count = len(place)
+    apart, over = UNBALANCED * weights.balance, OVER * weights.length
+    tiny, short = TINY_COST * weights.length, SHORT_COST * weights.length
+    # start: the best sum of spans up to a place and its opening; most: the best of all starts so far.
+    start, back, most = [0.0] * count, [0] * count, [0.0] * count
+    far, far_all, gone = {}, -1, 0  # the best start more than LONG characters back: by balance state, of all; the first nearer one
+
+    def at_far(i: int, k: int) -> bool:
+        return k < 0 or start[i] + over * place[i] >= start[k] + over * place[k]
+
+    for j in range(1, count):
+        top, arg, pj, bj = -1e18, j - 1, place[j], state[j]
+        while pj - place[gone] > LONG:
+            if at_far(gone, far.get(state[gone], -1)):
+                far[state[gone]] = gone
+            if at_far(gone, far_all):
+                far_all = gone
+            gone += 1
+        for i in range(j - 1, gone - 1, -1):
+            if most[i] <= top:
+                break  # no earlier start can be better
+            size = pj - place[i]
+            v = start[i]
+            if state[i] != bj:
+                v -= apart
+            if size < SHORT:
+                v -= tiny if size < TINY else short
+            if v > top:
+                top, arg = v, i
+        for i in (far.get(bj, -1), far_all):
+            if i >= 0:
+                v = start[i] - (0.0 if state[i] == bj else apart) - (pj - place[i] - LONG) * over
+                if v > top:
+                    top, arg = v, i
+        start[j], back[j] = top + closes[j] + opens[j], arg
+        most[j] = max(most[j - 1], start[j])
+    cuts, j = [count - 1], count - 1
+    while j:
+        j = back[j]
+        cuts.append(j)
+    cuts.reverse()
+    return cuts
 
 
-def _running(block: str, base: int, has_thai: bool, out: list[tuple[int, int]]) -> None:
+def _running(block: str, base: int, has_thai: bool, weights: Weights, out: list[tuple[int, int]]) -> None:
     """Spans of a block of running text, by the best sum of span scores."""
-    ends: list[tuple[int, float, int]] = []  # place, score, balance state before it
+    # Of each place where a span may end: the place, how well one closes and the next opens there, the balance state.
+    place, closes, opens, state = [0], [0.0], [0.0], [0]
     straight = depth = brackets = 0
     german = "„" in block
-    n, skip = len(block), -1
+    n, skip, word = len(block), -1, (-1, 0)
+    turns, turned = [], []  # where the balance state changes, and to what; only for spaces as ends
+    wc, wo = weights.closing, weights.opening
     for m in _marks.finditer(block):
         t, e = m.span()
+        if has_thai:
+            turns.append(t)
+            turned.append(straight + 2 * depth + 64 * brackets)
         if t < skip:
             continue
         c = block[t]
@@ -214,64 +297,35 @@ def _running(block: str, base: int, has_thai: bool, out: list[tuple[int, int]])
             else:
                 break
             p += 1
-        skip = p
-        s = _score(block, t, e, p, block[e:p].strip())
-        if s is not None and p < n:
-            ends.append((p, s, straight + 2 * depth + 64 * brackets))
+        skip = q = p
+        while q < n and block[q].isspace():
+            q += 1
+        if q == n:
+            continue  # the block's end is an end anyway
+        closer = block[e:p].strip()
+        start = t
+        if c == "." and e - t == 1:
+            start = _word_start(block, t, word)
+            word = (t, start)
+        place.append(p)
+        closes.append(wc * _closing(block, start, t, e, q > p, closer))
+        opens.append(wo * _opening(block, q, q > p, closer, block[e - 1]))
+        state.append(straight + 2 * depth + 64 * brackets)
     if has_thai:
-        known = {x[0] for x in ends}
-        spaces = [(m.start(), 4.0, 0) for m in _thai_space.finditer(block) if m.start() not in known]
+        known = set(place)
+        turns.append(n)
+        turned.append(straight + 2 * depth + 64 * brackets)
+        spaces = [(m.start(), 4.0 * wc, 0.0, turned[bisect_left(turns, m.start())]) for m in _thai_space.finditer(block) if m.start() not in known]
         if spaces:
-            ends = sorted(ends + spaces)
-    if not ends:
+            place, closes, opens, state = map(list, zip(*sorted([*zip(place, closes, opens, state), *spaces])))
+    if len(place) == 1:
         out.append((base, base + n))
         return
-    place, score, state = [0], [0.0], [0]
-    for p, s, b in ends:
-        place.append(p)
-        score.append(s)
-        state.append(b)
     place.append(n)
-    score.append(0.0)
+    closes.append(0.0)
+    opens.append(0.0)
     state.append(straight + 2 * depth + 64 * brackets)
-    count = len(place)
-    best, back, most = [0.0] * count, [0] * count, [0.0] * count  # most: the best of all starts so far
-    far, far_all, gone = {}, -1, 0  # the best start more than LONG characters back: by balance state, of all; the first nearer one
-
-    def at_far(i: int, k: int) -> bool:
-        return k < 0 or best[i] + OVER * place[i] >= best[k] + OVER * place[k]
-
-    for j in range(1, count):
-        top, arg, pj, bj = -1e18, j - 1, place[j], state[j]
-        while pj - place[gone] > LONG:
-            if at_far(gone, far.get(state[gone], -1)):
-                far[state[gone]] = gone
-            if at_far(gone, far_all):
-                far_all = gone
-            gone += 1
-        for i in range(j - 1, gone - 1, -1):
-            if most[i] <= top:
-                break  # no earlier start can be better
-            size = pj - place[i]
-            v = best[i]
-            if state[i] != bj:
-                v -= 5.0
-            if size < 10:
-                v -= 2.0 if size < 3 else 0.3
-            if v > top:
-                top, arg = v, i
-        for i in (far.get(bj, -1), far_all):
-            if i >= 0:
-                v = best[i] - (0.0 if state[i] == bj else 5.0) - (pj - place[i] - LONG) * OVER
-                if v > top:
-                    top, arg = v, i
-        best[j], back[j] = top + score[j], arg
-        most[j] = max(most[j - 1], best[j])
-    cuts, j = [count - 1], count - 1
-    while j:
-        j = back[j]
-        cuts.append(j)
-    cuts.reverse()
+    cuts = best_cuts(place, closes, opens, state, weights)
     for i, j in zip(cuts, cuts[1:]):
         a, b = place[i], place[j]
         while a < b and block[a].isspace():
@@ -307,7 +361,7 @@ def _units(block: str) -> list[tuple[int, int, bool]]:
     return out + [(a, b, True) for a, b in zip(starts, [*starts[1:], n])]
 
 
-def sentences(text: str | None) -> list[tuple[int, int]]:
+def sentences(text: str | None, weights: Weights = WEIGHTS) -> list[tuple[int, int]]:
     """Start and end of every sentence, in code points, without the white space around it."""
     if not text:
         return []
@@ -329,7 +383,7 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
                 if whole:
                     out.append((base + a + shift, base + a + shift + len(piece)))
                 else:
-                    _running(piece, base + a + shift, has_thai, out)
+                    _running(piece, base + a + shift, has_thai, weights, out)
         at = hi
     return out
 

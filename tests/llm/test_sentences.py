@@ -2,7 +2,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skeinworks.llm.sentences import sentences, split_sentences
+from skeinworks.llm import sentences as S
+from skeinworks.llm.sentences import Weights, sentences, split_sentences
 
 CASES = [
     ("Dr. Smith came at 6 a.m. sharp. He left.", ["Dr. Smith came at 6 a.m. sharp.", "He left."]),
@@ -54,6 +55,54 @@ def test_any_number_of_refused_places(text):
     assert [whole[a:b] for a, b in sentences(whole)] == [text, "Then he went."]
 
 
+ABLATIONS = [
+    ("closing", "Dr. Smith met J. K. Rowe on the 5th (cf. Sec. 2). He left.", ["Dr. Smith met J. K. Rowe on the 5th (cf. Sec. 2).", "He left."]),
+    ("closing", "Er kam am 4. Mai. Gut so.", ["Er kam am 4. Mai.", "Gut so."]),
+    ("opening", '"Stop at 3!" shouted Ann, and left. "Why?"', ['"Stop at 3!" shouted Ann, and left.', '"Why?"']),
+    ("opening", '"कितने बचे?" यह पूछकर गुरु ने 7 लिखा। ठीक।', ['"कितने बचे?" यह पूछकर गुरु ने 7 लिखा।', "ठीक।"]),
+    ("opening", "They list rods, etc. in rows. Then more.", ["They list rods, etc. in rows.", "Then more."]),
+    ("balance", 'She wrote: "It is finite. Then we go. Nobody stays." as her note. The end.', ['She wrote: "It is finite. Then we go. Nobody stays." as her note.', "The end."]),
+    ("balance", "Он сказал: «Это верно. Хватит споров» и ушёл. Всё.", ["Он сказал: «Это верно. Хватит споров» и ушёл.", "Всё."]),
+    ("balance", "We know (this is new. It holds always) the rest. Good.", ["We know (this is new. It holds always) the rest.", "Good."]),
+    ("length", "... And so he left. Fine.", ["... And so he left.", "Fine."]),
+    ("length", "We add the next part to it, and " * 40 + "we see it. then " + "we add the last part to it, and " * 40 + "stop.", ["We add the next part to it, and " * 40 + "we see it.", "then " + "we add the last part to it, and " * 40 + "stop."]),
+]
+
+
+@pytest.mark.parametrize("term,text,want", ABLATIONS)
+def test_each_term_decides(term, text, want):
+    """With all four terms the spans are right; without the term named here they are not."""
+    assert [text[a:b] for a, b in sentences(text)] == want
+    assert [text[a:b] for a, b in sentences(text, Weights(**{term: 0.0}))] != want
+
+
+def _best_by_hand(place, close, open_, state, w):
+    """The best segmentation by trying every one (few places only)."""
+    best = None
+    inner = range(1, len(place) - 1)
+    for mask in range(1 << len(inner)):
+        cut = [0, *(k for n, k in enumerate(inner) if mask >> n & 1), len(place) - 1]
+        total = sum(S.span_score(place, close, open_, state, i, j, w) for i, j in zip(cut, cut[1:]))
+        if best is None or total > best + 1e-9:
+            best = total
+    return best
+
+
+@given(st.lists(st.tuples(st.integers(1, 900), st.floats(-9, 5), st.floats(-9, 2), st.integers(0, 3)), min_size=2, max_size=9))
+@settings(max_examples=150, deadline=None)
+def test_programme_finds_the_best_segmentation(steps):
+    place, close, open_, state = [0], [0.0], [0.0], [0]
+    for d, c, o, b in steps:
+        place.append(place[-1] + d)
+        close.append(c)
+        open_.append(o)
+        state.append(b)
+    cuts = S.best_cuts(place, close, open_, state, S.WEIGHTS)
+    got = sum(S.span_score(place, close, open_, state, i, j, S.WEIGHTS) for i, j in zip(cuts, cuts[1:]))
+    assert cuts[0] == 0 and cuts[-1] == len(place) - 1
+    assert got == pytest.approx(_best_by_hand(place, close, open_, state, S.WEIGHTS))
+
+
 def test_frame(spark):
     df = spark.createDataFrame([(1, "One. Two.", 5), (2, None, 5), (3, "", 5), (4, " \n ", 5), (1, "One. Two.", 5)], "doc_id long, text string, char_start int")
     assert sorted(tuple(r) for r in split_sentences(df).collect()) == [(1, 0, 4), (1, 0, 4), (1, 5, 9), (1, 5, 9)]
