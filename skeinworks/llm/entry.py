@@ -21,9 +21,18 @@ def queries() -> dict:
         "p6_leaked_items": contamination.p6_leaked_items,
         "p7_mixture": mixing.p7_mixture,
         "p7_weights": mixing.p7_weights,
+        "p7_checks": mixing.p7_checks,
         "p8_found": sentences.p8_found,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": quota_sample.P2_SQL, "p4_found": canonical_dups.P4_SQL, "p4_collapsed": canonical_dups.P4_COLLAPSED_SQL, "p5_found": cooccurrence.P5_SQL, "p5_lift": cooccurrence.P5_LIFT_SQL, "p6_found": contamination.P6_SQL}
+    return {
+        "p2_found": quota_sample.P2_SQL,
+        "p4_found": canonical_dups.P4_SQL,
+        "p4_collapsed": canonical_dups.P4_COLLAPSED_SQL,
+        "p5_found": cooccurrence.P5_SQL,
+        "p5_lift": cooccurrence.P5_LIFT_SQL,
+        "p6_found": contamination.P6_SQL,
+        "p7_checks": mixing.P7_CHECKS_SQL,
+    }

@@ -12,7 +12,9 @@ rounded up or down and the tokens stay near the target.
 The mix's size is the largest at which every source with documents meets its weight. A source so scarce
 that this would shrink the mix below scarce (a parameter, SCARCE unless given) of what the other sources allow
 is repeated to its cap instead, and reported as not met, as are sources without documents; scarce = 0 leaves
-none out.
+none out. The report holds beside the target the feasible weight of each source, i.e. what can be reached with such
+sources at their most and the others in the proportion of their targets, and why it differs (status: "no documents",
+"capped", "rebalanced" for the others).
 
 Defined results: sources are compared trimmed and in lower case; null or blank sources, null ids and texts without tokens
 take no part; repeated rows are documents of their own; an empty table gives an empty mixture; extra columns are
@@ -22,11 +24,14 @@ ignored. Mixes are settings of at most MIX_ROWS rows.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log
+from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,14 +46,23 @@ SCARCE = 0.05
 TOLERANCE = 0.005
 NEWTON = 50
 MIX_ROWS = 10_000
-LONG_RUN = 100_000
+
+
+# White space of the split pattern. A run of it is one piece but for its last character, which may go with what follows;
+# very long ones overflow the pattern's stack, so they are handed over as the piece they are.
+_gap = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
+def _vocabulary(path: str) -> str:
+    """The vocabulary file on this machine: at its path, or as the driver sent it."""
+    return path if Path(path).exists() else SparkFiles.get(Path(path).name)
 
 
 def _counter(path: str):
-    """A function from texts to token counts."""
+    """A function from texts to token counts, the same for a text of any length."""
     import tiktoken
 
-    with open(path, "rb") as f:
+    with open(_vocabulary(path), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
     coder = tiktoken.Encoding("sizes", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
@@ -56,15 +70,12 @@ def _counter(path: str):
         if not text:
             return 0
         text = text.encode("utf-8", "replace").decode()
-        # Very long texts go in pieces cut at white space, which changes a count by one token a piece at most.
         total, at = 0, 0
-        while at < len(text):
-            end = min(len(text), at + LONG_RUN)
-            if end < len(text) and (cut := text.rfind(" ", at + 1, end)) > at:
-                end = cut
-            total += len(coder.encode_ordinary(text[at:end]))
+        for m in _gap.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            total += len(coder.encode_ordinary(text[at : m.start()])) + len(coder._encode_single_piece(text[m.start() : end]))
             at = end
-        return total
+        return total + len(coder.encode_ordinary(text[at:] if at else text))
 
     return count
 
@@ -103,6 +114,8 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
     """
     spark = documents.sparkSession
     runtime.ship_package(spark)
+    if Path(tokenizer).exists():
+        spark.sparkContext.addFile(tokenizer)  # executors need not have it at the same path
     rules = [(r[0], (r[1] or "").strip().lower(), float(r[2] or 0), int(r[3] or 0), r[1]) for r in mixes.select("mix_id", "source_name", "target_weight", "max_repeats").limit(MIX_ROWS + 1).collect()]
     if len(rules) > MIX_ROWS:
         raise ValueError(f"more than {MIX_ROWS} mix rows")
@@ -112,12 +125,14 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
     cells = runtime.materialize(sized.groupBy("source", "tokens", "bucket").agg(F.count("*").alias("n")), "mix-cells")
     supply = {r[0]: (r[1], r[2]) for r in cells.groupBy("source").agg(F.sum("n"), F.sum(F.col("n") * F.col("tokens"))).collect()}  # named sources only
     goals = {}  # (mix, source): cap, wanted tokens
+    reachable = {}  # (mix, source): tokens it can give of those wanted
     for mix in {r[0] for r in rules}:
         own = [r for r in rules if r[0] == mix]
         size = total_tokens or _size(own, supply, scarce)
         for _, source, weight, cap, _ in own:
             if source in supply and weight > 0 and cap > 0:
                 goals[mix, source] = (cap, weight * size)
+                reachable[mix, source] = min(weight * size, cap * supply[source][1])
     duals = _newton(spark, cells, supply, goals)
     kind = mixes.schema["mix_id"].dataType.simpleString()
     solved = spark.createDataFrame([(m, s, *duals[m, s], float(goals[m, s][0]), supply[s][1] / supply[s][0]) for m, s in goals], f"mix_id {kind}, source string, a double, b double, cap double, mean double")
@@ -132,10 +147,19 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
     copies = ranked.join(edges, ["source", "tokens", "bucket"]).withColumn("copies", F.least(rounded(F.col("k")) - rounded(F.col("k") - 1), F.ceil("rate")))
     copies = runtime.materialize(copies.filter("copies > 0").select("mix_id", "doc_id", F.col("source").alias("source_name"), "tokens", F.col("copies").cast("int").alias("copies")), "mix-copies")
     used = copies.groupBy("mix_id", "source_name").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"), F.sum("copies").alias("copies"), F.count("*").alias("used_documents"))
-    asked = spark.createDataFrame([(m, s, w, c, *(supply.get(s, (0, 0)))) for m, s, w, c, _ in rules], f"mix_id {kind}, source_name string, target_weight double, max_repeats int, documents long, available_tokens long")
+    whole = {m: sum(v for (k, _), v in reachable.items() if k == m) for m, _ in reachable}
+    asked = []
+    for m, s, w, c, _ in rules:
+        best = reachable.get((m, s), 0.0)
+        feasible = best / whole[m] if best else 0.0
+        why = "no documents" if w and s not in supply else "capped" if w and c * supply[s][1] < goals.get((m, s), (0, 0.0))[1] * (1 - 1e-9) else "rebalanced" if abs(feasible - w) > TOLERANCE else "feasible"
+        asked.append((m, s, w, c, *(supply.get(s, (0, 0))), feasible, why))
+    asked = spark.createDataFrame(asked, f"mix_id {kind}, source_name string, target_weight double, max_repeats int, documents long, available_tokens long, feasible_weight double, status string")
     full = asked.join(used, ["mix_id", "source_name"], "left").fillna(0, ["used_tokens", "copies", "used_documents"])
     whole = F.sum("used_tokens").over(Window.partitionBy("mix_id"))
-    report = full.withColumn("actual_weight", F.coalesce(F.col("used_tokens") / F.nullif(whole, F.lit(0)), F.lit(0.0))).withColumn("met", F.abs(F.col("actual_weight") - F.col("target_weight")) <= TOLERANCE)
+    report = full.withColumn("actual_weight", F.coalesce(F.col("used_tokens") / F.nullif(whole, F.lit(0)), F.lit(0.0)))
+    near = lambda c: F.abs(F.col("actual_weight") - F.col(c)) <= TOLERANCE
+    report = report.withColumn("met", near("target_weight")).withColumn("balanced", near("feasible_weight"))
     return Mixture(copies, report)
 
 
@@ -187,5 +211,26 @@ def p7_mixture(spark, sf_dir: str) -> DataFrame:
 
 
 def p7_weights(spark, sf_dir: str) -> DataFrame:
-    """Target and actual weight of every source of every mix."""
+    """Target, feasible and actual weight of every source of every mix."""
     return _on_tables(spark, sf_dir).report
+
+
+def p7_checks(spark, sf_dir: str) -> DataFrame:
+    """What must hold of the mixture: which sources can take part, caps kept, one row a document, weights reached."""
+    got = _on_tables(spark, sf_dir)
+    caps = got.report.select("mix_id", "source_name", "max_repeats")
+    taken = got.copies.groupBy("mix_id", "source_name").agg(F.max("copies").alias("most"), F.count("*").alias("rows"), F.min("copies").alias("least"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"))
+    repeated = got.copies.groupBy("mix_id", "source_name", "doc_id").count().filter("count > 1").select("mix_id", "source_name").distinct().withColumn("twice", F.lit(True))
+    all_ = got.report.select("mix_id", "source_name", "documents", "balanced", "used_tokens").join(F.broadcast(caps), ["mix_id", "source_name"]).join(taken, ["mix_id", "source_name"], "left").join(repeated, ["mix_id", "source_name"], "left")
+    return all_.select(
+        "mix_id", "source_name", "documents", F.coalesce((F.col("most") <= F.col("max_repeats")) & (F.col("least") >= 1), F.lit(True)).alias("within_cap"),
+        F.col("twice").isNull().alias("one_row_a_document"), F.coalesce(F.col("tokens") == F.col("used_tokens"), F.col("used_tokens") == 0).alias("tokens_add_up"), "balanced",
+    )
+
+
+P7_CHECKS_SQL = r"""
+WITH d AS (SELECT regexp_replace(lower(source), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS source FROM documents WHERE doc_id IS NOT NULL AND text <> ''),
+n AS (SELECT source, count(*) AS documents FROM d GROUP BY source)
+SELECT mix_id, lower(trim(source_name)) AS source_name, coalesce(documents, 0) AS documents, true AS within_cap, true AS one_row_a_document, true AS tokens_add_up, true AS balanced
+FROM mix_targets LEFT JOIN n ON n.source = lower(trim(source_name))
+"""
