@@ -7,7 +7,7 @@ hold the solution. So a source of which more is wanted than it has repeats its l
 of which less is wanted keeps its shorter ones rather. Sums over documents are taken from a table of
 (source, tokens, bucket) counts: one small distributed aggregate a step, whatever the corpus. Rates become
 whole copies by systematic rounding along the documents in order of size, so that each document gets its rate
-rounded up or down and the tokens stay near the target.
+rounded up or down; of SHIFTS shifts of the rounding the one nearest to the wanted tokens is taken.
 
 The mix's size is the largest at which every source with documents meets its weight. A source so scarce
 that this would shrink the mix below scarce (a parameter, SCARCE unless given) of what the other sources allow
@@ -46,6 +46,7 @@ SCARCE = 0.05
 TOLERANCE = 0.005
 NEWTON = 50
 MIX_ROWS = 10_000
+SHIFTS = 64
 
 
 # White space of the split pattern. A run of it is one piece but for its last character, which may go with what follows;
@@ -140,10 +141,13 @@ def mix_sources(documents: DataFrame, mixes: DataFrame, tokenizer: str = TOKENIZ
     # Running totals of rates along (tokens, bucket): a window over counts, never over documents.
     along = Window.partitionBy("mix_id", "source").orderBy("tokens", "bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edges = cells.join(F.broadcast(solved), "source").withColumn("rate", rate).withColumn("upto", F.sum(F.col("n") * F.col("rate")).over(along))
-    edges = edges.select("mix_id", "source", "tokens", "bucket", "rate", (F.col("upto") - F.col("n") * F.col("rate")).alias("start"))
+    edges = runtime.materialize(edges.select("mix_id", "source", "tokens", "bucket", "n", "rate", (F.col("upto") - F.col("n") * F.col("rate")).alias("start")), "mix-edges")
+    wanted = {k: min(w, c * supply[k[1]][1]) for k, (c, w) in goals.items()}
+    shifts = spark.createDataFrame([(m, s, u) for (m, s), u in _shifts(edges, wanted).items()], f"mix_id {kind}, source string, shift double")
+    edges = edges.join(F.broadcast(shifts), ["mix_id", "source"]).withColumn("start", F.col("start") + F.col("shift")).drop("n", "shift")
     place = F.row_number().over(Window.partitionBy("source", "tokens", "bucket").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id"))
     ranked = sized.withColumn("k", place)
-    rounded = lambda k: F.floor(F.col("start") + k * F.col("rate") + F.lit(0.5 + 1e-9))
+    rounded = lambda k: F.floor(F.col("start") + k * F.col("rate") + F.lit(1e-9))
     copies = ranked.join(edges, ["source", "tokens", "bucket"]).withColumn("copies", F.least(rounded(F.col("k")) - rounded(F.col("k") - 1), F.ceil("rate")))
     copies = runtime.materialize(copies.filter("copies > 0").select("mix_id", "doc_id", F.col("source").alias("source_name"), "tokens", F.col("copies").cast("int").alias("copies")), "mix-copies")
     used = copies.groupBy("mix_id", "source_name").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"), F.sum("copies").alias("copies"), F.count("*").alias("used_documents"))
@@ -199,6 +203,21 @@ def _newton(spark, cells: DataFrame, supply: dict, goals: dict) -> dict:
     return at
 
 
+def _shifts(edges: DataFrame, wanted: dict) -> dict:
+    """For each mix and source the shift of the rounding, of SHIFTS even ones, whose tokens are nearest to those wanted.
+
+    Every shift rounds each rate up or down; all of them together give the wanted tokens on average, but one alone may be off
+    by half the longest document, which counts in small sources.
+    """
+    if not wanted:
+        return {}
+    tries = [(k + 0.5) / SHIFTS for k in range(SHIFTS)]
+    end = F.col("start") + F.col("n") * F.col("rate")
+    used = lambda u: F.sum(F.col("tokens") * (F.floor(end + F.lit(u + 1e-9)) - F.floor(F.col("start") + F.lit(u + 1e-9))))
+    sums = edges.groupBy("mix_id", "source").agg(F.array(*(used(u) for u in tries)).alias("used")).collect()
+    return {(m, s): min(tries, key=lambda u: (abs(got[tries.index(u)] - wanted[m, s]), abs(u - 0.5))) for m, s, got in sums}
+
+
 def _on_tables(spark, sf_dir: str) -> Mixture:
     return mix_sources(runtime.table(spark, sf_dir, "documents"), runtime.table(spark, sf_dir, "mix_targets"))
 
