@@ -1,10 +1,13 @@
 """Defective question and answer pairs: noisy labelling functions under an expectation-maximization label model.
 
-Each row is turned into votes (+ defect, - none, 0 abstains) of several labelling functions for each of five
-defects. The votes of all rows are counted by pattern (three to the number of functions at most, so the
-table is small whatever the input), and for each defect a two-class model with a table of vote
-probabilities for each function is fitted to the pattern counts by EM. A row keeps every defect whose
-posterior exceeds the cutoff; the cutoffs are held to a labelled fixture in tests/llm.
+Each row is turned into votes (+ defect, - none, 0 abstains) of the labelling functions of FUNCTIONS. Each function
+looks at another trace of a defect and none is made of others, so they contradict one another on many rows. A
+truncated last step and a truncated final answer leave different traces and are two latent classes. The votes of all rows are
+counted by pattern for each class (three to the number of its functions at most, so the
+tables are small whatever the input), and for each a two-class model with a table of vote probabilities for each
+function is fitted to the pattern counts by EM, from the functions' expected hit and false rates as a weak prior. A row
+keeps every defect whose posterior exceeds its cutoff. The cutoffs are chosen by answer_calibration on pairs labelled
+by construction, half of them held out, and held to those and to a hand-labelled fixture in tests/llm.
 
 Unfinished last steps are told from those that only lack a full stop by how the corpus goes on after the
 same words: for the last words of such a step (1 to 4, in scripts without spaces 4 to 8 characters), the
@@ -34,11 +37,23 @@ from pyspark.sql import functions as F
 from skeinworks import runtime
 from skeinworks.llm import near_dups
 from skeinworks.llm import textops as tx
+from skeinworks.llm.answer_cutoffs import CALIBRATED
 
 DEFECTS = ("refusal", "copied_question", "other_language", "truncated_answer", "empty_answer")
-FUNCTIONS = {"refusal": 4, "copied_question": 4, "other_language": 4, "truncated_answer": 4, "empty_answer": 3}
-CUTOFFS = {"refusal": 0.5, "copied_question": 0.5, "other_language": 0.5, "truncated_answer": 0.5, "empty_answer": 0.5}
-ROUNDS = 50
+# Latent classes: their defect, and each labelling function's expected share of + votes in the class and outside it.
+FUNCTIONS = {
+    "refusal": ("refusal", {"says_it_cannot": (0.9, 0.01), "regrets": (0.6, 0.02), "no_mathematics": (0.9, 0.1), "speaks_of_itself": (0.8, 0.05), "short": (0.8, 0.2)}),
+    "copied_question": ("copied_question", {"text_inside": (0.95, 0.03), "final_inside": (0.7, 0.01), "nothing_new_anywhere": (0.95, 0.02), "no_new_number": (0.95, 0.1), "compresses_away": (0.9, 0.05)}),
+    "other_language": ("other_language", {"function_words": (0.9, 0.01), "script": (0.95, 0.01), "most_steps": (0.9, 0.02), "no_shared_short_words": (0.9, 0.2), "diacritics": (0.8, 0.05)}),
+    "truncated_step": ("truncated_answer", {"corpus_goes_on": (0.9, 0.02), "no_end_mark": (0.95, 0.2), "open_structure": (0.3, 0.005), "dangling_word": (0.3, 0.005), "stopped_by_length": (0.4, 0.1)}),
+    "truncated_final": ("truncated_answer", {"open_structure": (0.7, 0.0005), "dangling_word": (0.4, 0.0005), "bare_command": (0.3, 0.0005), "stopped_by_length": (0.4, 0.1)}),
+    "empty_answer": ("empty_answer", {"nothing_left": (0.7, 0.0005), "placeholder": (0.4, 0.0005), "hardly_a_letter": (0.8, 0.05), "no_content": (0.95, 0.1)}),
+}
+CLASSES = tuple(FUNCTIONS)
+# Chosen by answer_calibration.calibrate on half of its labelled pairs, checked on the other half (see tests/llm).
+CUTOFFS = {c: x["cutoff"] for c, x in CALIBRATED.items()}
+ROUNDS = 100
+PRIOR_SHARE = 0.002
 FILTER_BITS = 1 << 26
 BITS_PER_RUN = 16
 FINISHED = 0.5
@@ -100,67 +115,133 @@ _answer_words = re.compile(r"final[_ ]?answer|answer|\bans\b|solution|respuesta|
 PLACEHOLDERS = frozenset("na nan none null nil tbd tba todo pending blank empty undefined unknown placeholder missing xxx xx insert here your".split())
 
 
-def script(text: str) -> str | None:
-    """The script of most letters; Japanese if there is some kana."""
-    if text.isascii():
-        return "latin" if _letters.search(text) else None
-    counts: dict[str, int] = {}
-    for c in text:
-        if not c.isalpha() and not "฀" <= c <= "๿" and not "ऀ" <= c <= "ॿ":
-            continue
-        if c < "ɐ":
-            k = "latin"
-        elif "Ѐ" <= c <= "ӿ":
-            k = "ru"
-        elif "؀" <= c <= "ۿ":
-            k = "ar"
-        elif "ऀ" <= c <= "ॿ":
-            k = "hi"
-        elif "฀" <= c <= "๿":
-            k = "th"
-        elif "぀" <= c <= "ヿ":
-            k = "ja"
-        elif "一" <= c <= "鿿":
-            k = "zh"
+class _Scripts(dict):
+    """A translate table from characters to one letter for their script; other characters go."""
+
+    def __missing__(self, code: int):
+        c = chr(code)
+        if not c.isalpha() and not "\u0e00" <= c <= "\u0e7f" and not "\u0900" <= c <= "\u097f":
+            k = None
+        elif c < "\u0250":
+            k = "l"
         else:
-            k = "other"
-        counts[k] = counts.get(k, 0) + (3 if k in ("zh", "ja") else 1)
-    if not counts:
-        return None
-    if counts.get("ja", 0) * 8 > counts.get("zh", 0):
-        counts["ja"] = counts.get("ja", 0) + counts.pop("zh", 0)
-    return max(counts, key=counts.get)
+            k = next((k for k, (a, b) in _RANGES.items() if a <= c <= b), "o")
+        self[code] = k
+        return k
+
+
+_RANGES = {"r": ("\u0400", "\u04ff"), "a": ("\u0600", "\u06ff"), "h": ("\u0900", "\u097f"), "t": ("\u0e00", "\u0e7f"), "j": ("\u3040", "\u30ff"), "z": ("\u4e00", "\u9fff")}
+_SCRIPT_NAMES = {"l": "latin", "r": "ru", "a": "ar", "h": "hi", "t": "th", "j": "ja", "z": "zh", "o": "other"}
+_scripts = _Scripts()
+
+
+class Profile:
+    """What a text shows of its language: letters by script, function words and special letters by language."""
+
+    __slots__ = ("scripts", "points", "hints", "short")
+
+    def __init__(self, text: str = ""):
+        self.scripts: dict[str, int] = {}
+        self.points: dict[str, float] = {}
+        self.hints: dict[str, int] = {}
+        self.short: set[str] = set()
+        if not text:
+            return
+        if "$" in text or "\\" in text:
+            text = _formula.sub(" ", text)
+        words = _letters.findall(text.lower())
+        if text.isascii():
+            if words:
+                self.scripts = {"l": sum(map(len, words))}
+        else:
+            letters = text.translate(_scripts)
+            self.scripts = {k: n * (3 if k in "jz" else 1) for k in _SCRIPT_NAMES if (n := letters.count(k))}
+            for c in set(text):
+                if c in _LATIN_HINT:
+                    self.hints[_LATIN_HINT[c]] = self.hints.get(_LATIN_HINT[c], 0) + text.count(c)
+        points = self.points
+        for w in words:
+            if len(w) <= 4:
+                self.short.add(w)
+            if w in _STOP:
+                ks = _STOP[w]
+                for k in ks:
+                    points[k] = points.get(k, 0.0) + 1 / len(ks)
+
+    def add(self, other: "Profile") -> None:
+        for mine, its in ((self.scripts, other.scripts), (self.points, other.points), (self.hints, other.hints)):
+            for k, v in its.items():
+                mine[k] = mine.get(k, 0) + v
+        self.short |= other.short
+
+    def script(self) -> str | None:
+        """The script of most letters; Japanese if there is some kana."""
+        if not self.scripts:
+            return None
+        counts = self.scripts
+        if counts.get("j", 0) * 8 > counts.get("z", 0):
+            counts = counts | {"j": counts.get("j", 0) + counts.get("z", 0), "z": 0}
+        return _SCRIPT_NAMES[max(counts, key=counts.get)]
+
+    def language(self) -> str | None:
+        """A language code by script and function words, or None if too little speaks for any."""
+        kind = self.script()
+        if kind != "latin":
+            return kind
+        first, second, best = 0.0, 0.0, None
+        for k in STOP:
+            v = self.points.get(k, 0.0) + 0.7 * self.hints.get(k, 0)
+            if v > first:
+                first, second, best = v, first, k
+            elif v > second:
+                second = v
+        return best if first >= 1 and first > 1.3 * second else None
+
+
+def script(text: str) -> str | None:
+    return Profile(text).script()
 
 
 def language(text: str) -> str | None:
-    """A language code, or None if too little speaks for any."""
-    text = _formula.sub(" ", text)
-    kind = script(text)
-    if kind != "latin":
-        return kind
-    points = {k: 0.0 for k in STOP}
-    for w in _letters.findall(text.lower()):
-        for k in (ks := _STOP.get(w, ())):
-            points[k] += 1 / len(ks)
-    for c in () if text.isascii() else text:
-        if c in _LATIN_HINT:
-            points[_LATIN_HINT[c]] += 0.7
-    first, second = sorted(points.values(), reverse=True)[:2]
-    return max(points, key=points.get) if first >= 1 and first > 1.3 * second else None
+    return Profile(text).language()
 
 
 def _plain(text: str) -> str:
     return _not_word.sub("", text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower())
 
 
-def _grams(s: str, n: int) -> set[str]:
-    return {s[i : i + n] for i in range(len(s) - n + 1)} if len(s) >= n else ({s} if s else set())
+class _Unseen(dict):
+    """A translate table that removes control and format characters other than white space."""
+
+    def __missing__(self, code: int):
+        c = chr(code)
+        self[code] = None if unicodedata.category(c) in ("Cf", "Cc") and not c.isspace() else code
+        return self[code]
+
+
+_unseen = _Unseen()
 
 
 def _strip(text: str | None) -> str:
-    text = text or ""
-    text = "".join(c for c in text if unicodedata.category(c) not in ("Cf", "Cc") or c.isspace()) if not text.isascii() else text
-    return text.strip()
+    if not text:
+        return ""
+    return text.strip() if text.isascii() else text.translate(_unseen).strip()
+
+
+_math_sign = re.compile(r"\\(?!boxed|fbox|text|left|right|math|quad|displaystyle)[a-zA-Z]+|[∅∞π√]")
+_closed_sign = re.compile(r"\\(?:emptyset|infty|pi|varnothing|alpha|beta|gamma|theta|phi|lambda|mu|sigma|omega|circ|%)\s*[$})\]]*$")
+_bare_command = re.compile(r"\\[a-zA-Z]+$")
+_mathematics = re.compile(r"[\d\\$=]")
+_digits = re.compile(r"\d+")
+# Words and signs by which one speaks of oneself in the singular.
+SELF_WORDS = frozenset("i my me myself ich mir mich mein meine meiner meinen je j yo mi mis puedo debo lamento prefiero siento я мне меня мой моей أنا أستطيع أعتذر أرفض أفضل أود أقدر أرغب لست يمكنني لدي آسف मैं मुझे मेरी मेरे".split())
+SELF_SIGNS = ("我", "私", "お答え", "いたし", "申し訳", "मैं", "मुझे", "मेर", "ผม", "ฉัน", "ขอ")
+# Words without one of which none of the refusal patterns can match in Latin script.
+CANNOT_WORDS = frozenset(
+    "can cannot not could won would prefer unable decline refuse refrain pass instructions guidelines policy rules programming fall falls beyond please providing no ai assistant language something anything graded homework exam "
+    "nicht lehne ne refuse préfère décliner refuser puedo debo quiero prefiero niego posible condiciones".split()
+)
+SORRY_WORDS = frozenset("sorry afraid unfortunately regrettably apologies apologize apologise thanks thank clear leider tut entschuldigung désolé désolée malheureusement regrette siento lamento lamentablemente desgracia".split())
 
 
 def tokens(step: str) -> list[str]:
@@ -190,93 +271,119 @@ def _vote(yes: bool, no: bool) -> str:
     return "+" if yes else "-" if no else "0"
 
 
-def votes(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None) -> tuple[dict[str, str], str, str]:
-    """The labelling functions' votes for each defect, with an open last step taken as unfinished; the votes for
-    truncated_answer with that step taken as finished; and the last step."""
+def _share_inside(pieces: list[str], p: str) -> list[tuple[int, int]]:
+    """For each piece how many of its runs of five characters stand in p, and how many there are."""
+    known = {p[i : i + 5] for i in range(len(p) - 4)}
+    out = []
+    for x in pieces:
+        n = len(x) - 4
+        out.append((sum(map(known.__contains__, [x[i : i + 5] for i in range(n)])), n) if n > 0 else (int(x in p), 1))
+    return out
+
+
+def _open_structure(text: str) -> bool:
+    return text.count("$") % 2 == 1 or text.count("{") > text.count("}") or text.count("(") > text.count(")") or text.count("[") > text.count("]")
+
+
+def votes(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None) -> tuple[list[str], str, str]:
+    """The labelling functions' votes for each class, with an open last step taken as one the corpus goes on after; the votes for
+    truncated_step with that step taken as finished; and the last step."""
     problem, final = _strip(problem), _strip(final)
     raw = [x for s in steps or [] if (x := _strip(s))]
     bodies = [_lead.sub("", _label.sub("", s)) for s in raw]
     prose = [b for b in bodies if b]
-    if _plain(final) in ("wrongproblem",):
-        return {d: "-" * n for d, n in FUNCTIONS.items()}, "-" * FUNCTIONS["truncated_answer"], ""
-    out: dict[str, str] = {}
+    end = _plain(_lead.sub("", final))
+    if end == "wrongproblem":
+        none = ["-" * len(fs) for _, fs in FUNCTIONS.values()]
+        return none, none[3], ""
+    length = (finish or "").strip().lower()
+    stopped = _vote(length in ("length", "max_tokens"), length == "stop")
 
     # empty_answer
-    bare = _answer_words.sub("", _wrappers.sub("", _tags.sub("", final)))
-    left = _plain(bare)
-    math_sign = re.search(r"\\(?!boxed|text|left|right|math)[a-zA-Z]+|∅|∞|π", final) is not None
-    empty_mark = bool(final) and not left and not math_sign
-    empty_word = bool(left) and left in PLACEHOLDERS and len(final) < 40
-    full = bool(left) and not empty_word or math_sign
-    none = not final or empty_mark or empty_word
-    out["empty_answer"] = _vote(not final, full) + _vote(empty_mark or empty_word, full) + _vote(none, full)
+    bare = final if final.isalnum() else _wrappers.sub("", _tags.sub("", final))
+    left = _plain(_answer_words.sub("", bare))
+    math_sign = ("\\" in final or not final.isascii()) and _math_sign.search(final) is not None
+    blank = not left and not math_sign
+    word = bool(left) and left in PLACEHOLDERS and len(final) < 40
+    digits = any(map(str.isdigit, final))
+    told = bool(left) and (left in _plain("".join(prose)) if not digits else True)
+    empty = _vote(blank, True) + _vote(word, not blank) + _vote(not digits and not math_sign and len(_plain(bare)) <= 3, True) + _vote(not digits and not math_sign and not told, digits or math_sign or told)
 
     # refusal
-    said = [*prose, *([final] if final and not empty_mark else [])]
+    said = [*prose, *([final] if left or math_sign else [])]
     whole = "\n".join(said)
-    flat = _formula.sub(" ", whole)
-    cannot = [bool(_cannot.search(x) or _cannot_other.search(x)) for x in said]
-    refuse = any(c and not (_not_unique.search(x) and not _apology.search(x)) for c, x in zip(cannot, said))
-    sorry = bool(_apology.search(whole))
-    no_maths = bool(flat.strip()) and not re.search(r"\d|\\|\$", whole)
-    talk = len(final) > 12 and not re.search(r"\d|\\", final)
-    last_says = any(cannot[-2:])
-    out["refusal"] = _vote(refuse, not refuse) + _vote(sorry, False) + _vote(no_maths and refuse, not no_maths and not last_says) + _vote(last_says and (talk or not final or empty_mark), not last_says)
+    words = set(_letters.findall(whole.lower()))
+    foreign_script = not whole.isascii() and any(c > "\u024f" and c.isalpha() for c in whole)
+    cannot = (foreign_script or not words.isdisjoint(CANNOT_WORDS)) and any((_cannot.search(x) or _cannot_other.search(x)) and not (_not_unique.search(x) and not _apology.search(x)) for x in said[-2:])
+    refusal = (
+        _vote(cannot, True)
+        + _vote((foreign_script or not words.isdisjoint(SORRY_WORDS)) and _apology.search(whole) is not None, True)
+        + _vote(bool(whole) and not _mathematics.search(whole), bool(whole))
+        + _vote(not words.isdisjoint(SELF_WORDS) or foreign_script and any(k in whole for k in SELF_SIGNS), bool(whole))
+        + _vote(bool(whole) and len(whole) < 0.6 * len(problem) and len(said) <= 3, bool(whole))
+    )
 
     # copied_question
-    p, answer = _plain(problem), _plain("".join(_lead.sub("", x) for x in said))
-    pf, end = _grams(p, 5), _plain(_lead.sub("", final))
-    of = _grams(answer, 5)
-    inside = len(of & pf) / len(of) if of else 0.0
-    fg = _grams(end, 5)
-    final_in = len(fg & pf) / len(fg) if fg else 0.0
-    long_final = len(end) >= 12
-    enough = len(answer) >= 12 and len(p) >= 12
+    p = _plain(problem)
     pieces = [x for y in said if (x := _plain(_lead.sub("", y)))]
-    # One step or answer that says something of its own makes the rest a quotation.
-    own_words = any((x not in p) if len(x) < 8 else len((g := _grams(x, 5)) & pf) < 0.5 * len(g) for x in pieces) or bool(end) and not long_final
-    numbers = set(re.findall(r"\d+", whole)) - set(re.findall(r"\d+", problem))
-    out["copied_question"] = (
-        _vote(enough and not own_words, own_words)
-        + _vote(long_final and final_in >= 0.7, bool(end) and (not long_final or final_in < 0.6))
-        + _vote(enough and inside >= 0.75 and not own_words, inside < 0.6)
-        + _vote(enough and not numbers and inside >= 0.6 and not own_words, len(numbers) > 1)
-    )
+    inside = _share_inside(pieces, p)
+    hits, runs = sum(h for h, _ in inside), sum(n for _, n in inside)
+    enough = sum(map(len, pieces)) >= 12 and len(p) >= 12
+    share = hits / runs if runs else 0.0
+    final_in = inside[-1][0] / inside[-1][1] if inside and len(end) >= 12 and (left or math_sign) else 0.0
+    least = min((h / n for h, n in inside), default=0.0)
+    if not enough:
+        copied = "00000"
+    else:
+        new = set(_digits.findall(whole)) - set(_digits.findall(problem))
+        fits = 1.0
+        if share > 0.3:
+            a, b = problem.lower().encode(), whole.lower().encode()
+            fits = (len(zlib.compress(a + b"\n" + b, 6)) - len(zlib.compress(a, 6))) / len(b)
+        copied = (
+            _vote(share >= 0.75, share < 0.6)
+            + _vote(final_in >= 0.7, bool(end) and final_in < 0.6)
+            + _vote(least >= 0.5, True)
+            + _vote(not new, True)
+            + _vote(fits < 0.15, fits > 0.25)
+        )
 
     # other_language
-    one = language(problem)
-    clean = [_quoted.sub(" ", b) for b in prose]
-    two = language("\n".join(clean)) if clean else None
-    sp, ss = script(_formula.sub(" ", problem)), script(_formula.sub(" ", "\n".join(clean)))
-    each = [x for c in clean if (x := language(c))]
-    other = sum(x != one for x in each) / len(each) if each and one else None
-    fl = language(final) if len(final) > 20 else None
-    out["other_language"] = (
+    ask, tell = Profile(problem), Profile()
+    each = [Profile(_quoted.sub(" ", b) if '"' in b or "(" in b else b) for b in prose]
+    for x in each:
+        tell.add(x)
+    one, two, sp, ss = ask.language(), tell.language(), ask.script(), tell.script()
+    per = [k for x in each if (k := x.language())]
+    other = sum(k != one for k in per) / len(per) if per and one else None
+    common = len(ask.short & tell.short)
+    hint, hint2 = (max(x.hints, key=x.hints.get) if x.hints else None for x in (ask, tell))
+    both = bool(sp and ss)
+    foreign = (
         _vote(bool(one and two and one != two), bool(one and two and one == two))
-        + _vote(bool(sp and ss and sp != ss), bool(sp and ss and sp == ss and sp != "latin"))
+        + _vote(both and sp != ss, both and sp == ss and sp != "latin")
         + _vote(other is not None and other > 0.6, other is not None and other < 0.4)
-        + _vote(bool(one and fl and fl != one and two == fl), bool(one and two and one == two))
+        + _vote(both and len(tell.short) >= 4 and len(ask.short) >= 4 and not common, common >= 2)
+        + _vote(bool(hint and hint2 and hint != hint2), bool(hint and hint2 and hint == hint2))
     )
 
-    # truncated_answer
+    # truncated_step
     last = raw[-1] if raw else ""
-    core = _label.sub("", last)
-    label_only = bool(last) and not core.strip()
+    core = _label.sub("", last).strip()
     closed = bool(_real_end.search(core))
-    open_maths = core.count("$") % 2 == 1 or core.count("{") > core.count("}") or core.count("(") > core.count(")") and not closed
     unfinished = bool(last) and not closed
-    surely = unfinished and (open_maths or bool(_dangling.search(core)))
-    cut_final = bool(final) and not none and (final.count("{") > final.count("}") or final.count("(") > final.count(")") or final.count("$") % 2 == 1 or bool(_dangling.search(final)) or bool(re.search(r"\\[a-zA-Z]+$", final)) and not math_sign)
-    if re.search(r"\\(?:emptyset|infty|pi|varnothing)$", final):
-        cut_final = False
-    stopped = (finish or "").strip().lower() in ("length", "max_tokens")
+    open_ = bool(core) and not closed and _open_structure(core)
+    dangling = unfinished and bool(core) and bool(_dangling.search(core))
+    rest = _vote(unfinished, bool(last)) + _vote(open_, bool(core)) + _vote(dangling, bool(core)) + stopped
+    step = _vote(unfinished, True) + rest
 
-    def truncated(broken: bool) -> str:
-        sound = not broken and not label_only and not cut_final
-        return _vote(broken or label_only, sound) + _vote(cut_final, sound) + _vote(broken or label_only or cut_final, sound) + _vote(stopped and not sound, False)
-
-    out["truncated_answer"] = truncated(unfinished)
-    return out, truncated(surely), last
+    # truncated_final
+    if blank or word:
+        cut = "0000"
+    else:
+        sign = _closed_sign.search(final) is not None
+        cut = _vote(_open_structure(final), True) + _vote(not sign and bool(_dangling.search(final)), True) + _vote(not sign and final[-1:].isalpha() and bool(_bare_command.search(final)), True) + stopped
+    return [refusal, copied, foreign, step, cut, empty], ("+" if not core and last else "-") + rest, last if core else ""
 
 
 _ROW = "answer_id long, pattern string, if_finished string, keys array<long>, unseen double"
@@ -288,9 +395,9 @@ def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         got = []
         for row in zip(*fields):
             out, finished, last = votes(*row)
-            asks = finished != out["truncated_answer"]
+            asks = bool(last) and finished != out[3]
             keys, unseen = ending_keys(last) if asks else (None, None)
-            got.append(("|".join(out[d] for d in DEFECTS), "|".join((out | {"truncated_answer": finished})[d] for d in DEFECTS) if asks else None, keys, unseen))
+            got.append(("|".join(out), "|".join([*out[:3], finished, *out[4:]]) if asks else None, keys, unseen))
         pattern, other, keys, unseen = zip(*got) if got else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(pattern, pa.string()), pa.array(other, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(unseen, pa.float64())], names=["answer_id", "pattern", "if_finished", "keys", "unseen"]
@@ -354,60 +461,95 @@ def _finished_endings(answers: DataFrame, voted: DataFrame) -> DataFrame:
     return seen.filter(share >= FINISHED).select("asked")
 
 
-def fit(patterns: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Posterior of the defect for each vote pattern of one defect, by EM over the pattern counts.
+class LabelModel:
+    """A two-class model of one latent class: vote probabilities of each function, and the class's share."""
+
+    def __init__(self, rates: list[tuple[float, float]]):
+        self.start = np.array([[[1 - r[y], r[y]] for r in rates] for y in (1, 0)])  # outside, inside: function, (-, +)
+        self.table, self.prior = self.start.copy(), 0.03
+
+    def posterior(self, patterns: list[str]) -> np.ndarray:
+        """Of each vote pattern; an abstention says nothing."""
+        votes_ = _codes(patterns)
+        logs = [np.log(w) + sum(np.append(np.log(self.table[y, k]), 0.0)[votes_[:, k]] for k in range(self.start.shape[1])) for y, w in ((0, 1 - self.prior), (1, self.prior))]
+        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
+
+    def fit(self, patterns: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> "LabelModel":
+        """EM over the pattern counts. The start stays as a weak prior of PRIOR_SHARE of the rows, so classes cannot change places."""
+        if not patterns:
+            return self
+        votes_, strength, post = _codes(patterns), max(1.0, PRIOR_SHARE * counts.sum()), None
+        for _ in range(rounds):
+            new = self.posterior(patterns)
+            if post is not None and np.abs(new - post).max() < 1e-9:
+                break
+            post = new
+            for y, w in ((0, counts * (1 - post)), (1, counts * post)):
+                for k in range(votes_.shape[1]):
+                    seen = np.bincount(votes_[:, k], weights=w, minlength=3)[:2] + strength * self.start[y, k]
+                    self.table[y, k] = seen / seen.sum()
+            self.prior = float(np.clip((counts @ post + 1) / (counts.sum() + 20), 1e-4, 0.5))
+        return self
+
+
+def _codes(patterns: list[str]) -> np.ndarray:
+    return np.array([["-+0".index(c) for c in p] for p in patterns])
+
+
+def fit_all(table: list[tuple[str, str, int]]) -> dict[str, LabelModel]:
+    """A model for each class from its pattern counts: rows of class, pattern, count."""
+    models = {}
+    for c, (_, functions) in FUNCTIONS.items():
+        own = sorted((p, n) for k, p, n in table if k == c)
+        models[c] = LabelModel(list(functions.values())).fit([p for p, _ in own], np.array([float(n) for _, n in own]))
+    return models
+
+
+def voted_rows(answers: DataFrame) -> DataFrame:
+    """answer_id, votes array<string> by CLASSES, of each row once, with the corpus' word on open last steps."""
+    runtime.ship_package(answers.sparkSession)
+    rows = answers.select("answer_id", "problem", "solution_steps", "final_answer", "answer_finish_reason").filter("answer_id is not null")
+    first = runtime.materialize(rows.mapInArrow(_vote_batches, _ROW), "first-votes")
+    finished = _finished_endings(answers, first).withColumn("finished", F.lit(True))
+    judged = first.filter("keys is not null").withColumn("asked", F.element_at("keys", -1)).join(finished, "asked", "left")
+    judged = judged.select("answer_id", F.when(F.col("finished"), F.col("if_finished")).otherwise(F.col("pattern")).alias("pattern"))
+    both = first.filter("keys is null").select("answer_id", "pattern").unionByName(judged)
+    out = runtime.materialize(both.groupBy("answer_id").agg(F.min("pattern").alias("pattern")).select("answer_id", F.split("pattern", "[|]").alias("votes")), "votes")
+    runtime.drop_materialized(first)
+    return out
 
-    Vote tables start from functions that are right nine times in ten and keep that as a weak prior, so the
-    two classes cannot change places.
-    """
-    if not patterns:
-        return np.zeros(0)
-    votes_ = np.array([["-+0".index(c) for c in p] for p in patterns])
-    m = votes_.shape[1]
-    start = np.array([[0.9, 0.1], [0.1, 0.9]])  # of no defect, of a defect: -, +; an abstention says nothing
-    table, prior = np.repeat(start[:, None, :], m, axis=1), 0.05
-    strength = max(1.0, 0.002 * counts.sum())
-    post = np.zeros(len(patterns))
-    for _ in range(rounds):
-        logs = [np.log(w) + sum(np.append(np.log(table[y, k]), 0.0)[votes_[:, k]] for k in range(m)) for y, w in ((0, 1 - prior), (1, prior))]
-        new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-        if np.abs(new - post).max() < 1e-9:
-            break
-        post = new
-        for y, w in ((0, counts * (1 - post)), (1, counts * post)):
-            for k in range(m):
-                seen = np.bincount(votes_[:, k], weights=w, minlength=3)[:2] + strength * start[y]
-                table[y, k] = seen / seen.sum()
-        prior = float(np.clip((counts @ post + 1) / (counts.sum() + 20), 1e-4, 0.5))
-    return post
 
+def models_of(voted: DataFrame) -> tuple[dict[str, LabelModel], list[tuple[str, str, int]]]:
+    """The fitted models and the pattern counts they were fitted to: at most three to the number of functions for each class."""
+    names = F.array(*(F.lit(c) for c in CLASSES))
+    pairs = voted.select(F.explode(F.arrays_zip(names.alias("class"), F.col("votes").alias("pattern"))).alias("x")).select("x.class", "x.pattern")
+    table = [(r[0], r[1], r[2]) for r in pairs.groupBy("class", "pattern").agg(F.count("*").alias("n")).collect()]
+    return fit_all(table), table
 
-def defects(answers: DataFrame, cutoffs: dict[str, float] | None = None) -> DataFrame:
-    """answer_id, defect, posterior, rank: every defect of a row that passes its cutoff (rank by DEFECTS' order).
+
+def labels(answers: DataFrame, cutoffs: dict[str, float] | None = None) -> DataFrame:
+    """answer_id, class, defect, votes, posterior, rank: every latent class of a row that passes its cutoff (rank by DEFECTS' order).
 
     answers: answer_id bigint, problem string, solution_steps array<string>, final_answer string,
     answer_finish_reason string.
     """
     cutoffs = CUTOFFS | (cutoffs or {})
     spark = answers.sparkSession
-    runtime.ship_package(spark)
-    rows = answers.select("answer_id", "problem", "solution_steps", "final_answer", "answer_finish_reason").filter("answer_id is not null")
-    first = runtime.materialize(rows.mapInArrow(_vote_batches, _ROW), "first-votes")
-    finished = _finished_endings(answers, first).withColumn("finished", F.lit(True))
-    judged = first.filter("keys is not null").withColumn("asked", F.element_at("keys", -1)).join(finished, "asked", "left")
-    judged = judged.select("answer_id", F.when(F.col("finished"), F.col("if_finished")).otherwise(F.col("pattern")).alias("pattern"))
-    both = first.filter("keys is null").select("answer_id", "pattern").unionByName(judged)
-    voted = runtime.materialize(both.groupBy("answer_id").agg(F.min("pattern").alias("pattern")), "votes")
-    table = voted.groupBy("pattern").agg(F.count("*").alias("n")).collect()  # as many as vote patterns, not rows
-    split = [r[0].split("|") for r in table]
-    n = np.array([float(r[1]) for r in table])
+    voted = voted_rows(answers)
+    models, table = models_of(voted)
     kept = []
-    for k, d in enumerate(DEFECTS):
-        own, inverse = np.unique([s[k] for s in split], return_inverse=True) if split else (np.zeros(0, str), np.zeros(0, int))
-        post = fit(list(own), np.bincount(inverse, weights=n, minlength=len(own)) if len(own) else np.zeros(0))
-        kept += [(table[i][0], d, float(post[inverse[i]]), k) for i in range(len(table)) if post[inverse[i]] > cutoffs[d]]
-    labels = spark.createDataFrame(kept, "pattern string, defect string, posterior double, rank int")
-    return voted.join(F.broadcast(labels), "pattern").select("answer_id", "defect", "posterior", "rank")
+    for c, (defect, _) in FUNCTIONS.items():
+        own = [p for k, p, _ in table if k == c]
+        if own:
+            kept += [(CLASSES.index(c), c, p, defect, float(x), DEFECTS.index(defect)) for p, x in zip(own, models[c].posterior(own)) if x > cutoffs[c]]
+    passing = spark.createDataFrame(kept, "k int, class string, pattern string, defect string, posterior double, rank int")
+    rows = voted.select("answer_id", F.posexplode("votes").alias("k", "pattern"))
+    return rows.join(F.broadcast(passing), ["k", "pattern"]).select("answer_id", "class", "defect", F.col("pattern").alias("votes"), "posterior", "rank")
+
+
+def defects(answers: DataFrame, cutoffs: dict[str, float] | None = None) -> DataFrame:
+    """answer_id, defect, posterior, rank: every defect of a row, with the highest posterior of its classes."""
+    return labels(answers, cutoffs).groupBy("answer_id", "defect", "rank").agg(F.max("posterior").alias("posterior")).select("answer_id", "defect", "posterior", "rank")
 
 
 def p3_found(spark, sf_dir: str) -> DataFrame:
@@ -417,6 +559,11 @@ def p3_found(spark, sf_dir: str) -> DataFrame:
     return first.select("answer_id", F.col("first.defect").alias("defect"))
 
 
+def p3_labels(spark, sf_dir: str) -> DataFrame:
+    """Every label of every row with its votes and posterior, also those that p3_found passes over for an earlier one."""
+    return labels(runtime.table(spark, sf_dir, "answered_rows")).select("answer_id", "defect", "class", "votes", "posterior")
+
+
 def p3_manifest(spark, sf_dir: str) -> DataFrame:
     """What each file's manifest claims as failed against the rows found defective in it."""
     answers = runtime.table(spark, sf_dir, "answered_rows")

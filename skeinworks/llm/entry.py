@@ -12,6 +12,7 @@ def queries() -> dict:
         "p2_report": quota_sample.p2_report,
         "p2_sample": quota_sample.p2_sample,
         "p3_found": answer_defects.p3_found,
+        "p3_labels": answer_defects.p3_labels,
         "p3_manifest": answer_defects.p3_manifest,
         "p4_found": canonical_dups.p4_found,
         "p4_collapsed": canonical_dups.p4_collapsed,

@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 
+from skeinworks.llm import answer_calibration as C
 from skeinworks.llm import answer_defects as A
 
 DDL = "answer_id long, problem string, solution_steps array<string>, final_answer string, answer_finish_reason string, pattern int"
@@ -78,9 +81,51 @@ def test_label_model_learns_which_function_is_noise():
     vote = lambda acc: np.where(rng.random(len(y)) < acc, y, ~y)
     a, b, c = vote(0.95), vote(0.9), vote(0.55)
     pats, n = np.unique([f"{'-+'[i]}{'-+'[j]}{'-+'[k]}" for i, j, k in zip(a.astype(int), b.astype(int), c.astype(int))], return_counts=True)
-    post = dict(zip(pats, A.fit(list(pats), n.astype(float))))
+    model = A.LabelModel([(0.9, 0.1)] * 3).fit(list(pats), n.astype(float))
+    post = dict(zip(pats, model.posterior(list(pats))))
     assert post["++-"] > 0.6 and post["--+"] < 0.1 and post["+-+"] < post["++-"]
-    assert A.fit([], np.zeros(0)).size == 0
+    assert np.allclose(A.LabelModel([(0.9, 0.1)]).fit([], np.zeros(0)).table, [[[0.9, 0.1]], [[0.1, 0.9]]])
+
+
+SOME = "/root/testdata/sf0.01/answered_rows.parquet"
+
+
+@pytest.mark.skipif(not Path(SOME).exists(), reason="no test tables")
+def test_model_on_held_out_labelled_pairs(spark):
+    """On the half that chose nothing, precision and recall hold, and the model beats a majority of its functions, which disagree on many rows."""
+    answers = spark.read.parquet(SOME)
+    got = C.calibrate(answers, 300)
+    f1 = lambda x: 2 * x[0] * x[1] / max(1e-9, x[0] + x[1])
+    for c, g in got.items():
+        assert g["held_out"][0] >= 0.97 and g["held_out"][1] >= 0.85, (c, g["held_out"])
+        assert f1(g["held_out"]) >= f1(g["majority"]) - 0.01, c
+    assert sum(f1(g["held_out"]) - f1(g["majority"]) for g in got.values()) > 1
+    voted = A.voted_rows(answers).collect()
+    assert sum(any("+" in v and "-" in v for v in r.votes) for r in voted) > 0.2 * len(voted)
+    made = C.damage([(r[1], r[4], r[6], None) for r in answers.select("answer_id", "problem", "verdict", "key_idea", "solution_steps", "answer_check", "final_answer").limit(50).collect()])
+    assert {c for _, cs, _ in made for c in cs} == set(A.CLASSES)
+
+
+@pytest.mark.skipif(not Path(SOME).exists(), reason="no test tables")
+def test_no_function_is_made_of_others(spark):
+    """Each function of a class votes differently on some two rows that are alike to all others of its class."""
+    table = [tuple(r) for r in spark.read.parquet(SOME).select("problem", "solution_steps", "final_answer", "answer_finish_reason").collect()]
+    rows = table + [r for r, _, _ in C.damage(table[:300])]
+    seen = [A.votes(*r)[0] for r in rows] + [r.votes for r in A.voted_rows(spark.read.parquet(SOME)).collect()]
+    for k, c in enumerate(A.CLASSES):
+        patterns = {v[k] for v in seen}
+        for f in range(len(A.FUNCTIONS[c][1])):
+            others = {}
+            for p in patterns:
+                others.setdefault(p[:f] + p[f + 1 :], set()).add(p[f])
+            assert any(len(x) > 1 for x in others.values()), (c, list(A.FUNCTIONS[c][1])[f])
+
+
+def test_all_labels_are_kept(spark):
+    rows = [(i, (P, [GOOD[0], "so the value is %d" % i], str(i), "stop")) for i in range(300)] + [(900, (P, [GOOD[0], "Step 2: Factor the left-hand side of $26b^2 - 2b + 17 = 0$ and rea"], "", "length"))]
+    got = {(r.answer_id, r["class"]): r for r in A.labels(frame(spark, rows)).collect()}
+    assert set(got) == {(900, "truncated_step"), (900, "empty_answer")}
+    assert all(len(r.votes) == len(A.FUNCTIONS[c][1]) and r.posterior > A.CUTOFFS[c] for (_, c), r in got.items())
 
 
 def test_recurring_breaks_are_found_and_recurring_endings_are_not(spark):
