@@ -84,17 +84,17 @@ CALIBRATED = {
         ],
     },
     "empty_answer": {
-        "cutoff": 0.999301814,
+        "cutoff": 0.999487556,
         "held_out": (1.0, 0.9993),
-        "majority": (1.0, 0.9284),
+        "majority": (1.0, 0.8145),
         "curve": [
-            (0.014360865, 0.774782102, 1.0),
-            (0.593650347, 0.919524836, 1.0),
-            (0.999301814, 1.0, 1.0),
-            (0.99998772, 1.0, 0.931034483),
-            (0.999995051, 1.0, 0.821716801),
-            (0.999999884, 1.0, 0.813646368),
-            (0.999999999, 1.0, 0.723404255),
+            (0.115152141, 0.777905104, 1.0),
+            (0.932077018, 0.920845802, 1.0),
+            (0.999487556, 1.0, 1.0),
+            (0.999948341, 1.0, 0.931034483),
+            (0.999989856, 1.0, 0.92296405),
+            (0.999999739, 1.0, 0.813646368),
+            (0.999999998, 1.0, 0.723404255),
         ],
     },
 }

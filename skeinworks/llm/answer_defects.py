@@ -68,7 +68,7 @@ STOP = {
     "fr": "le la les des une un est et en que pour dans sur du au il combien avec par cette encore on nous qui de d l ce se faut quelle quel possède vaut dans puis même plus".split(),
     "es": "el la los las una un que de en y se para por con hay según todavía es del al como cuántas cuántos qué aquí tiene entre más sus su no cuando pues deduce".split(),
 }
-_STOP = {w: [k for k, v in STOP.items() if w in v] for v in STOP.values() for w in v}
+_STOP = {w: [(k, 1 / len(ks)) for k in ks] for v in STOP.values() for w in v if (ks := [k for k, u in STOP.items() if w in u])}
 _LATIN_HINT = {"ß": "de", "ä": "de", "ö": "de", "ü": "de", "ñ": "es", "¿": "es", "¡": "es", "í": "es", "ó": "es", "ú": "es", "ç": "fr", "è": "fr", "ê": "fr", "à": "fr", "œ": "fr", "ô": "fr", "û": "fr", "î": "fr"}
 
 _label = re.compile(r"^\s*(?:>\s*|[-*•]\s+|(?:step|étape|schritt|paso|шаг)\s*\d+\s*[:.)]\s*|(?:步骤|第)\s*\d+\s*步?\s*[:：.]\s*|\(?\d{1,2}[.)](?=\s|$)\s*)", re.I)
@@ -159,14 +159,11 @@ class Profile:
             for c in set(text):
                 if c in _LATIN_HINT:
                     self.hints[_LATIN_HINT[c]] = self.hints.get(_LATIN_HINT[c], 0) + text.count(c)
+        self.short = {w for w in set(words) if len(w) <= 4}
         points = self.points
-        for w in words:
-            if len(w) <= 4:
-                self.short.add(w)
-            if w in _STOP:
-                ks = _STOP[w]
-                for k in ks:
-                    points[k] = points.get(k, 0.0) + 1 / len(ks)
+        for w in filter(_STOP.__contains__, words):
+            for k, v in _STOP[w]:
+                points[k] = points.get(k, 0.0) + v
 
     def add(self, other: "Profile") -> None:
         for mine, its in ((self.scripts, other.scripts), (self.points, other.points), (self.hints, other.hints)):
@@ -233,6 +230,7 @@ _closed_sign = re.compile(r"\\(?:emptyset|infty|pi|varnothing|alpha|beta|gamma|t
 _bare_command = re.compile(r"\\[a-zA-Z]+$")
 _mathematics = re.compile(r"[\d\\$=]")
 _digits = re.compile(r"\d+")
+_beyond_latin = re.compile("[\u0370-\u1fff\u2c00-\ud7ff\uf900-\uffef]")
 # Words and signs by which one speaks of oneself in the singular.
 SELF_WORDS = frozenset("i my me myself ich mir mich mein meine meiner meinen je j yo mi mis puedo debo lamento prefiero siento я мне меня мой моей أنا أستطيع أعتذر أرفض أفضل أود أقدر أرغب لست يمكنني لدي آسف मैं मुझे मेरी मेरे".split())
 SELF_SIGNS = ("我", "私", "お答え", "いたし", "申し訳", "मैं", "मुझे", "मेर", "ผม", "ฉัน", "ขอ")
@@ -271,6 +269,12 @@ def _vote(yes: bool, no: bool) -> str:
     return "+" if yes else "-" if no else "0"
 
 
+def _behind(pattern: re.Pattern, text: str) -> str:
+    """The text without what the pattern matches at its start."""
+    m = pattern.match(text)
+    return text[m.end() :] if m else text
+
+
 def _share_inside(pieces: list[str], p: str) -> list[tuple[int, int]]:
     """For each piece how many of its runs of five characters stand in p, and how many there are."""
     known = {p[i : i + 5] for i in range(len(p) - 4)}
@@ -290,9 +294,9 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
     truncated_step with that step taken as finished; and the last step."""
     problem, final = _strip(problem), _strip(final)
     raw = [x for s in steps or [] if (x := _strip(s))]
-    bodies = [_lead.sub("", _label.sub("", s)) for s in raw]
+    bodies = [_behind(_lead, _behind(_label, s)) for s in raw]
     prose = [b for b in bodies if b]
-    end = _plain(_lead.sub("", final))
+    end = _plain(_behind(_lead, final))
     if end == "wrongproblem":
         none = ["-" * len(fs) for _, fs in FUNCTIONS.values()]
         return none, none[3], ""
@@ -307,13 +311,13 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
     word = bool(left) and left in PLACEHOLDERS and len(final) < 40
     digits = any(map(str.isdigit, final))
     told = bool(left) and (left in _plain("".join(prose)) if not digits else True)
-    empty = _vote(blank, True) + _vote(word, not blank) + _vote(not digits and not math_sign and len(_plain(bare)) <= 3, True) + _vote(not digits and not math_sign and not told, digits or math_sign or told)
+    empty = _vote(blank, True) + _vote(word, True) + _vote(not digits and not math_sign and len(_plain(bare)) <= 3, True) + _vote(not digits and not math_sign and not told, digits or math_sign or told)
 
     # refusal
     said = [*prose, *([final] if left or math_sign else [])]
     whole = "\n".join(said)
     words = set(_letters.findall(whole.lower()))
-    foreign_script = not whole.isascii() and any(c > "\u024f" and c.isalpha() for c in whole)
+    foreign_script = not whole.isascii() and _beyond_latin.search(whole) is not None
     cannot = (foreign_script or not words.isdisjoint(CANNOT_WORDS)) and any((_cannot.search(x) or _cannot_other.search(x)) and not (_not_unique.search(x) and not _apology.search(x)) for x in said[-2:])
     refusal = (
         _vote(cannot, True)
@@ -325,7 +329,7 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
 
     # copied_question
     p = _plain(problem)
-    pieces = [x for y in said if (x := _plain(_lead.sub("", y)))]
+    pieces = [x for y in said if (x := _plain(_behind(_lead, y)))]
     inside = _share_inside(pieces, p)
     hits, runs = sum(h for h, _ in inside), sum(n for _, n in inside)
     enough = sum(map(len, pieces)) >= 12 and len(p) >= 12
@@ -369,11 +373,11 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
 
     # truncated_step
     last = raw[-1] if raw else ""
-    core = _label.sub("", last).strip()
+    core = _behind(_label, last).strip()
     closed = bool(_real_end.search(core))
     unfinished = bool(last) and not closed
     open_ = bool(core) and not closed and _open_structure(core)
-    dangling = unfinished and bool(core) and bool(_dangling.search(core))
+    dangling = unfinished and bool(core) and bool(_dangling.search(core, core.rfind(" ") + 1))
     rest = _vote(unfinished, bool(last)) + _vote(open_, bool(core)) + _vote(dangling, bool(core)) + stopped
     step = _vote(unfinished, True) + rest
 
