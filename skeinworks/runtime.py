@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, whatever the executors' path holds."""
     sc = spark.sparkContext
-    if sc.applicationId in _shipped or (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+    if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
     target = Path(tempfile.mkdtemp(prefix="skeinworks-")) / "skeinworks.zip"
@@ -35,9 +35,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all run on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="skeinworks-ck-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -59,11 +61,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_materialized(*frames: DataFrame) -> None:
-    """Delete tables of materialize() once nothing reads them any more."""
+    """Delete tables of materialize(), and those a frame was built on (keep_with), once nothing reads them any more."""
     for df in frames:
         path = getattr(df, "_skein_path", None)
         if path:
             _delete(df.sparkSession, path)
+            _written[:] = [x for x in _written if x[1] != path]
+        drop_materialized(*getattr(df, "_skein_parts", ()))
+
+
+def keep_with(df: DataFrame, *parts: DataFrame) -> DataFrame:
+    """Note that df reads these tables, so that dropping df drops them."""
+    df._skein_parts = [*getattr(df, "_skein_parts", ()), *parts]
+    return df
 
 
 def _delete(spark: SparkSession, path: str) -> None:
