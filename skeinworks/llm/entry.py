@@ -30,6 +30,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": quota_sample.P2_SQL,
+        "p2_report": quota_sample.P2_REPORT_SQL,
         "p4_found": canonical_dups.P4_SQL,
         "p4_collapsed": canonical_dups.P4_COLLAPSED_SQL,
         "p5_found": cooccurrence.P5_SQL,
