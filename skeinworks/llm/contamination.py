@@ -59,37 +59,71 @@ def _framed(h: np.ndarray, offsets: np.ndarray, mark: int) -> tuple[np.ndarray,
     return out, place
 
 
+def _chains(pos: np.ndarray, fp: np.ndarray, own: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one fingerprint that follow each other in a text at one gap of at most run words, as in repetitive text.
+
+    For each chain: the number of its first place, its places, and the gap (0 for a lone place). The words between two places of a
+    chain are all covered by its runs, so a shared run that holds one of them on some diagonal holds the others as well.
+    """
+    order = np.lexsort((pos, fp, own))
+    p, f, o = pos[order], fp[order], own[order]
+    near = (f[1:] == f[:-1]) & (o[1:] == o[:-1]) & (p[1:] - p[:-1] <= run)
+    step = np.where(near, p[1:] - p[:-1], 0)
+    before = np.r_[0, step[:-1]] if len(step) else step
+    new = np.r_[True, (step == 0) | (step != before) & (before > 0)][: len(p)]
+    start = np.flatnonzero(new)
+    count = np.diff(np.r_[start, len(p)])
+    gap = np.where(count > 1, np.r_[step, 0][start] if len(p) else 0, 0)
+    return order[start], count, gap
+
+
 class ItemIndex:
-    """Fingerprints of the held-out items in sorted order, with their places."""
+    """Chains of equal fingerprints of the held-out items in sorted order, with their places."""
 
     def __init__(self, ids: list[int], texts: list[str | None], span: int = SPAN, run: int = RUN):
         self.ids, self.span, self.run, self.window = np.array(ids, np.int64), span, run, span - run + 1
         h, offsets = tx.hash_word_lists(tx.word_lists(texts))
         pos, fp = fingerprints(h, offsets, run, self.window)
-        order = np.argsort(fp, kind="stable")
-        self.fp, own = fp[order], tx.owners(offsets)
+        own = tx.owners(offsets)
+        self.fp = np.unique(fp)
         self.words, place = _framed(h, offsets, 0)
-        self.at, self.item = place[pos[order]], own[pos[order]]
+        head, self.chain_n, self.chain_gap = _chains(pos, fp, own[pos], run)
+        order = np.argsort(fp[head], kind="stable")
+        head, self.chain_n, self.chain_gap = head[order], self.chain_n[order], self.chain_gap[order]
+        self.chain_fp, self.chain_at, self.chain_item = fp[head], place[pos[head]], own[pos[head]]
 
     def hits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, item number and length of every shared run of at least span words."""
         none = np.zeros(0, np.int64)
         h, offsets = tx.hash_word_lists(tx.word_lists(texts))
         pos, fp = fingerprints(h, offsets, self.run, self.window)
-        lo, hi = np.searchsorted(self.fp, fp, "left"), np.searchsorted(self.fp, fp, "right")
-        n = hi - lo
-        if not n.sum():
+        known = np.isin(fp, self.fp)
+        pos, fp = pos[known], fp[known]
+        if not len(pos):
             return none, none, none
         words, place = _framed(h, offsets, 1)
         own = tx.owners(offsets)
-        p = np.repeat(pos, n)
-        k = np.arange(len(p)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        a, b = place[p], self.at[k]
-        left = self._extend(words, a - 1, b - 1, -1)
-        right = self._extend(words, a, b, 1)
-        total = left + right
+        head, count, gap = _chains(pos, fp, own[pos], self.run)
+        p, n, d = pos[head], count, gap
+        lo, hi = np.searchsorted(self.chain_fp, fp[head], "left"), np.searchsorted(self.chain_fp, fp[head], "right")
+        pairs = hi - lo
+        a = np.repeat(np.arange(len(head)), pairs)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(pairs) - pairs, pairs) + np.repeat(lo, pairs)
+        m, k = n[a], self.chain_n[b]
+        # Two chains of one gap lie on m + k - 1 diagonals; one place of each is enough, as a chain has no hole.
+        same = (m > 1) & (k > 1) & (d[a] == self.chain_gap[b])
+        total = np.where(same, m + k - 1, m * k)
+        which = np.repeat(np.arange(len(a)), total)
+        t = np.arange(len(which)) - np.repeat(np.cumsum(total) - total, total)
+        kk, ss = k[which], same[which]
+        i = np.where(ss, np.maximum(0, t - (kk - 1)), t // kk)
+        j = np.where(ss, np.maximum(0, kk - 1 - t), t % kk)
+        at = p[a[which]] + i * d[a[which]]
+        left0 = place[at]
+        right0 = self.chain_at[b[which]] + j * self.chain_gap[b[which]]
+        total = self._extend(words, left0 - 1, right0 - 1, -1) + self._extend(words, left0, right0, 1)
         ok = total >= self.span
-        return own[p[ok]], self.item[k[ok]], total[ok]
+        return own[at[ok]], self.chain_item[b[which]][ok], total[ok]
 
     def _extend(self, words: np.ndarray, a: np.ndarray, b: np.ndarray, step: int) -> np.ndarray:
         """How many words agree from places a and b on; the marks differ, so texts' ends stop it."""

@@ -1,9 +1,10 @@
 import random
 import re
+import time
 
 import pytest
 
-from skeinworks.llm.contamination import contaminated
+from skeinworks.llm.contamination import ItemIndex, contaminated
 
 WORDS = re.compile(r"[^\W_]+")
 
@@ -44,6 +45,28 @@ def test_like_brute_force(spark, item_words, span, run):
             assert r.words_shared == longest(text[r.doc_id], item[r.item_id])
 
 
+def test_repetitive_text_takes_linear_work():
+    """A run of equal words meets an item of such words on as many diagonals as there are places, not place by place."""
+    index = ItemIndex([1, 2], ["zero " * 1500, " ".join("abc"[i % 3] for i in range(900)) + " end of it"])
+    began = time.time()
+    own, item, n = index.hits(["zero " * 3000, " ".join("abc"[i % 3] for i in range(2001)) + " end of it"])
+    assert time.time() - began < 2
+    best = {(a, b): max(n[(own == a) & (item == b)], default=0) for a in (0, 1) for b in (0, 1)}
+    assert best == {(0, 0): 1500, (0, 1): 0, (1, 0): 0, (1, 1): 903}
+
+
+@pytest.mark.parametrize("span,run", [(13, 7), (6, 3)])
+def test_periodic_texts_like_brute_force(span, run):
+    rng = random.Random(run)
+    piece = lambda: ["xyzuv"[i % p] for p in [rng.randrange(1, 6)] for i in range(rng.randrange(1, 40))]
+    text = lambda: " ".join(piece() + [f"w{rng.randrange(3)}"] * rng.randrange(0, 3) + piece() + piece())
+    items, docs = [(i, text()) for i in range(8)], [(d, text()) for d in range(60)]
+    own, item, n = ItemIndex([i for i, _ in items], [t for _, t in items], span, run).hits([t for _, t in docs])
+    assert set(zip(own.tolist(), item.tolist())) == brute(docs, items, span)
+    for d, i in list(set(zip(own.tolist(), item.tolist())))[:40]:
+        assert n[(own == d) & (item == i)].max() == longest(docs[d][1], items[i][1])
+
+
 def test_bounds_and_repeats(spark):
     words = " ".join(f"x{i}" for i in range(13))
     it = spark.createDataFrame([(1, words)], "item_id long, text string")
