@@ -1,11 +1,12 @@
 """Items that appear together: heavy-light decomposition of pair counts, and lift.
 
-Items in at least a HEAVY_SHARE of all records are heavy; they number at most (items of a record on
-average) / HEAVY_SHARE. Pairs of heavy items are counted by popcounts over bit rows of blocks of
+Items in at least a HEAVY_SHARE of all records are heavy, at most the MAX_HEAVY most frequent of them (a task holds
+8 MB of counts and 16 MB of bits for those; the others are counted as light ones). Pairs of heavy items are counted by popcounts over bit rows of blocks of
 records, pairs of light items by sorted partial counts of the pairs each record holds, and mixed pairs
 by probing each light occurrence's record in the heavy bit rows. Every task sums its own counts before
 anything is shuffled; the three kinds of count are added up and lift is scored.
 
+Items are coded by 64-bit hashes; if two items that matter share a code, all are coded anew with another salt.
 Items below min_count are dropped before any pairing, which loses no pair that reaches min_count.
 
 Defined results: null records, null and blank items are ignored; an item counts once in a record, and
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from skeinworks import runtime
 
 HEAVY_SHARE = 1 / 64
+MAX_HEAVY = 1024
 BLOCK = 1 << 14
 BUFFER = 1 << 21
 DICTIONARY_ROWS = 200_000
@@ -122,23 +124,32 @@ def _popcounts(bits: np.ndarray, dense: np.ndarray) -> None:
         dense[i, i + 1 :] += np.bitwise_count(words[i] & words[i + 1 :]).sum(axis=1, dtype=np.int64)
 
 
-def cooccurrence(baskets: DataFrame, min_count: int, min_permyriad: int = 0, heavy_share: float = HEAVY_SHARE, dictionary_rows: int = DICTIONARY_ROWS) -> DataFrame:
+def cooccurrence(baskets: DataFrame, min_count: int, min_permyriad: int = 0, heavy_share: float = HEAVY_SHARE, dictionary_rows: int = DICTIONARY_ROWS, max_heavy: int = MAX_HEAVY, code=None) -> DataFrame:
     """item_a < item_b, together, records_a, records_b, records, lift of all pairs that share enough records.
 
     baskets: record (any type), items array<string>, already normalised. A pair is kept if it shares at
-    least min_count records and min_permyriad / 10000 of all records.
+    least min_count records and min_permyriad / 10000 of all records. code: the hash of an item's column under a salt.
     """
+    code = code or (lambda c, salt: F.xxhash64(c) if not salt else F.xxhash64(F.lit(salt), c))
     spark = baskets.sparkSession
     runtime.ship_package(spark)
-    single = baskets.filter("record is not null").select("record", F.explode("items").alias("item")).filter("item is not null and item <> ''").select("record", "item", F.xxhash64("item").alias("code"))
-    names = single.groupBy("code").agg(F.min("item").alias("item"))
-    lists = runtime.materialize(single.groupBy("record").agg(F.sort_array(F.collect_set("code")).alias("codes")).select("codes"), "baskets")
-    records = lists.count()
-    least = max(1, min_count, -(-records * min_permyriad // 10000))
-    counts = lists.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    items = runtime.materialize(counts.join(names, "code"), "basket-items")
+    single = baskets.filter("record is not null").select("record", F.explode("items").alias("item")).filter("item is not null and item <> ''")
+    salt = 0
+    while True:
+        coded = single.withColumn("code", code("item", salt))
+        names = coded.groupBy("code").agg(F.min("item").alias("item"), F.max("item").alias("other"))
+        lists = runtime.materialize(coded.groupBy("record").agg(F.sort_array(F.collect_set("code")).alias("codes")).select("codes"), "baskets")
+        records = lists.count()
+        least = max(1, min_count, -(-records * min_permyriad // 10000))
+        counts = lists.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+        items = runtime.materialize(counts.join(names, "code"), "basket-items")
+        if items.filter("item <> other").isEmpty():
+            break
+        runtime.drop_materialized(lists, items)
+        salt += 1
     kept = items.count()
-    heavy = sorted(r[0] for r in items.filter(F.col("n") >= max(1.0, heavy_share * records)).select("code").collect())  # bounded by the share
+    often = items.filter(F.col("n") >= max(1.0, heavy_share * records)).orderBy(F.desc("n"), "code").limit(max_heavy)
+    heavy = sorted(r[0] for r in often.select("code").collect())
     if kept <= dictionary_rows:
         codes = spark.sparkContext.broadcast(np.array(sorted(r[0] for r in items.select("code").collect()), np.int64))
         pruned = lists.mapInArrow(_keep_codes(codes), "codes array<long>")

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from skeinworks.llm.cooccurrence import cooccurrence
 
@@ -28,6 +29,30 @@ def test_like_brute_force(spark, heavy, dictionary):
     assert got == brute(rows, 3) and got
 
 
+def test_colliding_codes_are_replaced(spark):
+    """Codes of which several items share one are drawn anew until each item has its own."""
+    rng = random.Random(4)
+    rows = [(f"r{i}", [f"i{rng.randrange(12)}" for _ in range(5)]) for i in range(150)]
+    df = spark.createDataFrame(rows, "record string, items array<string>")
+    salts = []
+
+    def code(c, salt):
+        salts.append(salt)
+        h = F.xxhash64(F.lit(salt), c)
+        return h if salt == 2 else F.pmod(h, F.lit(7)).cast("long")
+
+    got = {(*r[:6], round(r[6], 9)) for r in cooccurrence(df, 3, code=code).collect()}
+    assert got == brute(rows, 3) and salts == [0, 1, 2]
+
+
+def test_heavy_items_beyond_the_bound_are_light_ones(spark):
+    rng = random.Random(5)
+    rows = [(f"r{i}", [f"i{rng.randrange(20)}" for _ in range(12)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "record string, items array<string>")
+    got = {(*r[:6], round(r[6], 9)) for r in cooccurrence(df, 3, max_heavy=3).collect()}
+    assert got == brute(rows, 3)
+
+
 def test_share_bound(spark):
     df = spark.createDataFrame([(i, ["a", "b"] if i < 3 else ["c"]) for i in range(100)], "record long, items array<string>")
     assert cooccurrence(df, 1, 300).count() == 1 and cooccurrence(df, 1, 301).count() == 0
