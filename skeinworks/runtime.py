@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage of df by a table in the shared folder and read it back.
 
     Columnar and compressed, so it costs less disk than a checkpoint, and any executor may be lost
@@ -53,9 +53,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skein-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
     _written.append((spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
+    return _read_back(spark, df.schema, path)
+
+
+def append(df: DataFrame, to: DataFrame | None, name: str) -> DataFrame:
+    """Add the rows of df to a table of materialize(); a new one if there is none yet."""
+    if to is None:
+        return materialize(df, name)
+    df.write.mode("append").option("compression", "zstd").parquet(to._skein_path)
+    return _read_back(df.sparkSession, df.schema, to._skein_path)
+
+
+def _read_back(spark: SparkSession, schema, path: str) -> DataFrame:
+    out = spark.read.schema(schema).parquet(path)
     out._skein_path = path
     return out
 
