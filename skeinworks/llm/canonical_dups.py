@@ -122,25 +122,32 @@ def _numpy(b: pa.RecordBatch, k: int) -> np.ndarray:
 
 
 def _build_filter(bits: int):
-    """Two packed bitmaps of a partition: all its hashes, and those it holds more than once."""
+    """Two packed bitmaps of a partition: all its hashes, and those it holds more than once, set batch by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.stack([_numpy(b, 0), _numpy(b, 1)], axis=1) for b in batches if b.num_rows]
-        if not parts:
-            return
-        pair = np.concatenate(parts)
-        pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
-        start = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)])
-        several = np.diff(np.r_[start, len(pair)]) > 1
-        pos = _positions(pair[start, 0].copy(), pair[start, 1].copy(), bits)
-        once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        _set_bits(once, pos.ravel())
-        _set_bits(again, pos[:, several].ravel())
-        yield from _segments(once, again)
+        once = again = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if once is None:
+                once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+            pair = np.stack([_numpy(b, 0), _numpy(b, 1)], axis=1)
+            pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
+            start = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(axis=1)])
+            pos = _positions(pair[start, 0].copy(), pair[start, 1].copy(), bits)
+            several = (np.diff(np.r_[start, len(pair)]) > 1) | _all_set(once, pos)
+            _set_bits(once, pos.ravel())
+            _set_bits(again, pos[:, several].ravel())
+        if once is not None:
+            yield from _segments(once, again)
 
     return run
 
 
+def _all_set(packed: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    return ((packed[pos >> np.uint64(3)] >> (np.uint8(7) - (pos & np.uint64(7)).astype(np.uint8))) & 1).all(axis=0)
+
+
 def _set_bits(packed: np.ndarray, positions: np.ndarray) -> None:
     np.bitwise_or.at(packed, positions >> np.uint64(3), np.uint8(128) >> (positions & np.uint64(7)).astype(np.uint8))
 
@@ -182,7 +189,7 @@ def _test_filter(bits: int, shared):
             again[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(blob), np.uint8)
         for b in batches:
             pos = _positions(_numpy(b, 2), _numpy(b, 3), bits)
-            maybe = ((again[pos >> np.uint64(3)] >> (np.uint8(7) - (pos & np.uint64(7)).astype(np.uint8))) & 1).all(axis=0)
+            maybe = _all_set(again, pos)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(maybe.astype(bool), pa.bool_())], names=["kind", "id", "h1", "h2", "maybe"])
 
     return run
@@ -196,20 +203,7 @@ class FormattingDuplicates:
     copies_of: DataFrame
 
 
-def formatting_duplicates(records: DataFrame, max_bits: int = MAX_BITS) -> FormattingDuplicates:
-    """Group records (kind string, id bigint, text string, is_json boolean) by canonical text within a kind.
-
-    max_bits bounds the filter that is broadcast (32 MB as set). Beyond max_bits / BITS_PER_ROW rows the
-    filter fills up and more rows count as possible repeats; those cost a shuffle of 24 bytes each and
-    the result stays exact.
-    """
-    spark = records.sparkSession
-    runtime.ship_package(spark)
-    hashed = runtime.materialize(records.select("kind", "id", "text", "is_json").mapInArrow(_hash_batches, "kind string, id long, h1 long, h2 long"), "canon")
-    rows = hashed.count()
-    bits = 1 << 16
-    while bits < min(max_bits, BITS_PER_ROW * rows):
-        bits *= 2
+def _filter_of(hashed: DataFrame, bits: int):
     merged = (
         hashed.select("h1", "h2")
         .mapInArrow(_build_filter(bits), "segment int, once binary, again binary")
@@ -217,8 +211,39 @@ def formatting_duplicates(records: DataFrame, max_bits: int = MAX_BITS) -> Forma
         .sortWithinPartitions("segment")
         .mapInArrow(_merge_segments, "segment int, again binary")
     )
-    shared = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in merged.collect()])  # at most max_bits / 8 bytes
-    flagged = hashed.mapInArrow(_test_filter(bits, shared), "kind string, id long, h1 long, h2 long, maybe boolean")
+    return hashed.sparkSession.sparkContext.broadcast([(r[0], bytes(r[1])) for r in merged.collect()])  # at most bits / 8 bytes
+
+
+_FLAGGED = "kind string, id long, h1 long, h2 long, maybe boolean"
+
+
+def formatting_duplicates(records: DataFrame, max_bits: int = MAX_BITS) -> FormattingDuplicates:
+    """Group records (kind string, id bigint, text string, is_json boolean) by canonical text within a kind.
+
+    max_bits bounds the filter that is broadcast (32 MB as set). Beyond max_bits / BITS_PER_ROW rows the hashes are cut into
+    ranges of at most so many rows, each in a folder of its own, and every range has its filter in turn: each range is read
+    twice, as the one is below that size, so the filters stay as sharp at any number of rows.
+    """
+    spark = records.sparkSession
+    runtime.ship_package(spark)
+    hashed = records.select("kind", "id", "text", "is_json").mapInArrow(_hash_batches, "kind string, id long, h1 long, h2 long")
+    ranges = max(1, -(-BITS_PER_ROW * records.count() // max_bits))  # a count of rows reads no text
+    if ranges == 1:
+        hashed = runtime.materialize(hashed, "canon")
+        rows, bits = hashed.count(), 1 << 16
+        while bits < min(max_bits, BITS_PER_ROW * rows):
+            bits *= 2
+        flagged = hashed.mapInArrow(_test_filter(bits, _filter_of(hashed, bits)), _FLAGGED)
+    else:
+        parts = runtime.materialize(hashed.withColumn("part", F.pmod(F.shiftright("h2", 20), F.lit(ranges)).cast("int")), "canon", partition_by="part")
+        flagged = None
+        for k in range(ranges):
+            one = parts.filter(F.col("part") == k).drop("part")  # only this range's folder is read
+            shared = _filter_of(one, max_bits)
+            flagged = runtime.append(one.mapInArrow(_test_filter(max_bits, shared), _FLAGGED), flagged, "canon-flagged")
+            shared.unpersist()
+        rows = flagged.count()
+        runtime.drop_materialized(parts)
     possible = runtime.materialize(flagged.filter("maybe").select("kind", "id", "h1", "h2"), "canon-possible")
     key = ["kind", "h1", "h2"]
     groups = possible.groupBy(*key).agg(F.min("id").alias("keep_id"), F.count("*").alias("seen"))
