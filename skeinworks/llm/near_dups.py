@@ -3,8 +3,10 @@
 A record is a set of tokens: runs of three words of a text, or the entries of a list. Two records are
 alike if their Jaccard similarity reaches a threshold, groups are the connected sets of alike records.
 
-1. Frequencies of all tokens are summed over the whole collection in a table of 2^SKETCH_BITS counters
-   (16 MB, whatever the input), an upper bound for each token that only steers the order of tokens.
+1. Frequencies of all tokens are summed over the whole collection in a table of at most 2^SKETCH_BITS counters
+   (64 MB, whatever the input), sized from the number of records. The load that rare tokens put into a counter is taken off, so
+   frequencies only steer the order of tokens, results are exact at any load, and tokens count as rare below three
+   deviations of the load where that is more than RARE.
 2. Tokens are ordered by that frequency, rarest first. A record misses at most n - ceil(t n) of its tokens
    in any record alike to it. Tokens of up to RARE records are indexed singly; frequent ones in
    combinations of K, by GROUPS hash groups, and the prefix is extended by the K - 1 tokens a group may
@@ -15,11 +17,12 @@ alike if their Jaccard similarity reaches a threshold, groups are the connected
    parity distance (an exact bound of the symmetric difference) to become a candidate. Of signatures met by
    more than FULL records, only neighbours become candidates at first.
 4. Candidates are verified exactly on the two token sets, and linked records grouped by connected components.
-   Of the crowded signatures, records that are by then in different groups are compared, in blocks of BLOCK
-   rows, each two blocks in a task of their own: no pair within a group is repeated, and none between groups is left out.
+   Crowded signatures all of whose records are by then in one group are done with. Records of the others go through steps
+   2 to 4 again with combinations of one token more, up to MOST; those too short for that, or still crowded at the end, are
+   compared, between different groups only, in blocks of BLOCK rows, each two blocks in a task of their own. None is left out.
 
-Exact copies collapse before step 2 to one node (a 64-bit hash of the set), so a group of copies costs
-one node however large it is.
+Exact copies collapse before step 2 to one node (a 64-bit hash of the set, checked against a second one: if two sets share a
+node, nodes are made anew), so a group of copies costs one node however large it is.
 
 Defined results: null ids, null and blank texts and null lists are ignored; a text of fewer than three
 words has no tokens and is alike only to records of the same words (of the same stripped, lower-cased
@@ -44,7 +47,9 @@ from skeinworks import runtime
 from skeinworks.llm import textops as tx
 from skeinworks.operators.components import connected_components
 
-SKETCH_BITS = 24
+SKETCH_BITS = 26
+LEAST_SKETCH_BITS = 18
+MOST = 6
 RARE = 64
 GROUPS = 8
 LONG = 24
@@ -89,8 +94,16 @@ def _first_parent(column: pa.Array) -> int:
     return next((i for i, n in enumerate(pc.list_value_length(column).to_pylist()) if n), 0)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], sets) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """ids, values, offsets, node of each valid row, in chunks; rows that do not count are left out."""
+def node_hashes(first: np.ndarray, second: np.ndarray, salt: int) -> np.ndarray:
+    """64 bits of the two hashes of each set."""
+    return tx.mix(first + U(salt) * second)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], sets, key) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """ids, values, offsets, node, size and a second hash of each valid row, in chunks; rows that do not count are left out.
+
+    key: the function that makes nodes of two hashes and a salt, and the salt.
+    """
     for b in batches:
         for lo in range(0, b.num_rows, CHUNK):
             part = b.slice(lo, CHUNK)
@@ -105,9 +118,13 @@ def _chunks(batches: Iterator[pa.RecordBatch], sets) -> Iterator[tuple[np.ndarra
                 ids = ids.filter(pa.array(ok))
             if not len(n):
                 continue
-            run = np.r_[U(0), np.cumsum(tx.mix(values))]
-            node = tx.mix((run[bounds[1:]] - run[bounds[:-1]]) * tx._BASE + n.astype(U) + content)
-            yield ids.to_numpy(zero_copy_only=False).astype(np.int64), values, bounds, node.view(np.int64), n
+            both = []
+            for start in (0, 77):
+                run = np.r_[U(0), np.cumsum(tx.mix(values + U(start)))]
+                both.append((run[bounds[1:]] - run[bounds[:-1]]) * tx._BASE + n.astype(U) + tx.mix(content + U(start)))
+            make, salt = key
+            node = make(*both, salt)
+            yield ids.to_numpy(zero_copy_only=False).astype(np.int64), values, bounds, node.view(np.int64), n, tx.mix(both[1]).view(np.int64)
 
 
 # Frequencies
@@ -123,13 +140,13 @@ def count_of(code: int) -> float:
     return float(code) if code <= 127 else 127 * 2 ** ((code - 127) / 4)
 
 
-def _members_and_counts(sets, bits: int):
+def _members_and_counts(sets, bits: int, key):
     segment_bits = min(16, bits)
-    fields = [("id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("segment", pa.int32()), ("counts", pa.binary())]
+    fields = [("id", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("segment", pa.int32()), ("counts", pa.binary())]
 
-    def rows(ids=(), node=(), n=(), segment=(), counts=()) -> pa.RecordBatch:
+    def rows(ids=(), node=(), check=(), segment=(), counts=()) -> pa.RecordBatch:
         size = max(len(ids), len(segment))
-        cols = [pa.array(x, t) if len(x) else pa.nulls(size, t) for x, (_, t) in zip((ids, node, n, segment, counts), fields)]
+        cols = [pa.array(x, t) if len(x) else pa.nulls(size, t) for x, (_, t) in zip((ids, node, check, segment, counts), fields)]
         return pa.RecordBatch.from_arrays(cols, names=[f for f, _ in fields])
 
     def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -143,8 +160,8 @@ def _members_and_counts(sets, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for ids, values, _, node, n in _chunks(batches, sets):
-            yield rows(ids, node, n.astype(np.int32))
+        for ids, values, _, node, _, check in _chunks(batches, sets, key):
+            yield rows(ids, node, check)
             parts.append((values >> U(tx.SET_BITS - bits)).astype(np.uint32))
             held += len(values)
             if held > 1 << 23:
@@ -157,13 +174,20 @@ def _members_and_counts(sets, bits: int):
 
 
 def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by segment: sums to one byte each, and occurrences by that byte."""
+    """Rows come sorted by segment: sums to one byte each, occurrences by that byte, and the load of a counter.
+
+    The load is what rare tokens put into a counter that they share, i.e. the median of the segment; it is taken off, so that on
+    large collections a byte still tells how frequent the token is itself. A counter of 1 stays 1 and no other becomes it.
+    """
     now, total = None, None
 
     def out() -> pa.RecordBatch:
-        code = quantise(total)
+        load = float(np.median(total))
+        code = quantise(total if load < 2 else np.where(total > 1, np.maximum(2, total - int(load)), total))
         weight = np.bincount(code, weights=total.astype(np.float64), minlength=256)
-        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([zlib.compress(code.tobytes(), 1)], pa.binary()), pa.array([weight.tolist()], pa.list_(pa.float64()))], names=["segment", "codes", "weight"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([now], pa.int32()), pa.array([zlib.compress(code.tobytes(), 1)], pa.binary()), pa.array([weight.tolist()], pa.list_(pa.float64())), pa.array([load])], names=["segment", "codes", "weight", "load"]
+        )
 
     for b in batches:
         for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -202,8 +226,11 @@ class Plan:
         yield 2, self.groups, n >= self.long_from
 
 
-def signatures(values: np.ndarray, bounds: np.ndarray, code: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """Row and 64-bit signature pairs of a chunk's sets; code is the frequency byte of each value."""
+def signatures(values: np.ndarray, bounds: np.ndarray, code: np.ndarray, plan: Plan, long_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Row and 64-bit signature pairs of a chunk's sets; code is the frequency byte of each value.
+
+    With long_only sets too short for combinations of plan.k give none.
+    """
     own = tx.owners(bounds)
     order = np.argsort(own.astype(U) << U(50) | code.astype(U) << U(42) | values >> U(8), kind="stable")
     values, code = values[order], code[order]
@@ -211,7 +238,7 @@ def signatures(values: np.ndarray, bounds: np.ndarray, code: np.ndarray, plan: P
     rows, sigs = [], []
     for tier, groups, which in plan.tiers(n):
         mask = which[own]
-        if not mask.any():
+        if not mask.any() or long_only and not groups:
             continue
         v, c, o = values[mask], code[mask], own[mask]
         start = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
@@ -274,24 +301,36 @@ def _parity(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
-def _emit_signatures(sets, plan: Plan, bits: int, shared):
+def _bitmap(shared, bits: int) -> np.ndarray:
+    out, size = np.zeros(bits // 8, np.uint8), min(1 << 16, bits // 8)
+    for k, blob in shared.value:
+        out[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(blob), np.uint8)
+    return out
+
+
+def _emit_signatures(sets, plan: Plan, bits: int, shared, key, only=None):
+    """only: a filter of nodes and its bits; other nodes, and sets too short for plan.k, give no signature then."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = np.zeros(1 << bits, np.uint8)
         size = 1 << min(16, bits)
         for k, blob in shared.value:
             codes[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(blob), np.uint8)
         seen: set[int] = set()
-        for _, values, bounds, node, n in _chunks(batches, sets):
+        wanted = None if only is None else _bitmap(*only)
+        for _, values, bounds, node, n, _ in _chunks(batches, sets, key):
             # One row for each node of this task: copies here need no second one.
             nodes, first = np.unique(node, return_index=True)
             fresh = np.array([x not in seen for x in nodes.tolist()], bool) & (n[first] > 0)
+            if wanted is not None:
+                fresh &= _in_filter(wanted, nodes)
             if len(seen) < SEEN:
                 seen.update(nodes.tolist())
             keep = np.zeros(len(n), bool)
             keep[first[fresh]] = True
             values, n, node = values[np.repeat(keep, n)], n[keep], node[keep]
             bounds = np.r_[0, np.cumsum(n)]
-            row, sig = signatures(values, bounds, codes[values >> U(tx.SET_BITS - bits)], plan)
+            row, sig = signatures(values, bounds, codes[values >> U(tx.SET_BITS - bits)], plan, wanted is not None)
             lo, hi = _parity(values, bounds)
             yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(node[row]), pa.array(n[row].astype(np.int32)), pa.array(lo[row]), pa.array(hi[row])], names=["sig", "node", "n", "b0", "b1"])
 
@@ -448,16 +487,12 @@ def _block_pairs(num: int, den: int):
 # Verification
 
 
-def _emit_sets(sets, bits: int, shared):
+def _emit_sets(sets, bits: int, shared, key):
     """node, tokens of the nodes that a candidate pair names (a filter of fixed size lets through a few more)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.zeros(bits // 8, np.uint8)
-        size = min(1 << 16, bits // 8)
-        for k, blob in shared.value:
-            wanted[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(blob), np.uint8)
-        seen: set[int] = set()
-        for _, values, bounds, node, n in _chunks(batches, sets):
+        wanted, seen = _bitmap(shared, bits), set()
+        for _, values, bounds, node, n, _ in _chunks(batches, sets, key):
             nodes, first = np.unique(node, return_index=True)
             first = first[_in_filter(wanted, nodes)]
             first = first[np.array([x not in seen for x in node[first].tolist()], bool)] if len(first) else first
@@ -514,73 +549,131 @@ def _merge_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 # The operator
 
 
-def _links(records: DataFrame, sets, num: int, den: int, sketch_bits: int, rare: int, full: int, block: int) -> tuple[DataFrame, DataFrame]:
+def _node_filter(spark, nodes: DataFrame, count: int):
+    """A broadcast filter of the nodes (column node), at most NODE_FILTER_BITS / 8 bytes, and its bits."""
+    bits = 1 << 16
+    while bits < min(NODE_FILTER_BITS, 16 * count):
+        bits *= 2
+    blobs = nodes.select("node").mapInArrow(_fill_filter(bits), "segment int, blob binary").repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge_filter, "segment int, blob binary").collect()
+    return spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in blobs]), bits
+
+
+def _members(records: DataFrame, sets, bits: int, make) -> tuple[DataFrame, DataFrame, tuple]:
+    """members (id, node), the table of counters, and the key of the nodes.
+
+    A node stands for one token set: where two sets share one, told by a second hash, all nodes are made anew with another salt.
+    """
+    salt = 0
+    while True:
+        first = runtime.materialize(records.mapInArrow(_members_and_counts(sets, bits, (make, salt)), "id long, node long, check long, segment int, counts binary"), "near-members")
+        members = first.filter("id is not null")
+        if members.groupBy("node").agg(F.min("check").alias("low"), F.max("check").alias("high")).filter("low < high").isEmpty():
+            return runtime.keep_with(members.select("id", "node"), first), first.filter("segment is not null").select("segment", "counts"), (make, salt)
+        runtime.drop_materialized(first)
+        salt += 1
+
+
+def _links(records: DataFrame, sets, num: int, den: int, sketch_bits: int, rare: int, full: int, block: int, most: int, make) -> tuple[DataFrame, DataFrame]:
     """members (id, node) of all records, and verified links (a, b) between nodes."""
     spark = records.sparkSession
-    first = runtime.materialize(records.mapInArrow(_members_and_counts(sets, sketch_bits), "id long, node long, n int, segment int, counts binary"), "near-members")
-    members = first.filter("id is not null").select("id", "node", "n")
-    merged = first.filter("segment is not null").select("segment", "counts").repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge_counts, "segment int, codes binary, weight array<double>").collect()
+    members, counters, key = _members(records, sets, sketch_bits, make)
+    merged = counters.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge_counts, "segment int, codes binary, weight array<double>, load double").collect()
     weight = np.sum([r[2] for r in merged], axis=0) if merged else np.zeros(256)
     rows = max(2, members.count())
+    # Beyond three deviations of what other tokens put into a counter its own frequency shows.
+    rare = max(rare, int(3 * np.sqrt(np.median([r[3] for r in merged])))) if merged else rare
     # The frequency within which a prefix lies in most records.
     cut = np.searchsorted(np.cumsum(weight), weight.sum() * min(0.9, 1 - num / den + 0.15)) if weight.sum() else 1
     often = min(rows - 1.0, max(2.0, count_of(int(min(cut, 255)))))
     combine = min(4, max(2, ceil(log2(rows / rare) / log2(rows / often)))) if rows > rare else 2
-    plan = Plan(num, den, combine, int(quantise(np.array([rare]))[0]))
     shared = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in merged])  # 2^sketch_bits bytes
-    indexed = records.mapInArrow(_emit_signatures(sets, plan, sketch_bits, shared), "sig long, node long, n int, b0 long, b1 long")
-    met = runtime.materialize(indexed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_bucket_pairs(num, den, full, block), _PAIR_DDL), "near-buckets")
-    pairs = runtime.materialize(met.filter("sig is null").select("a", "b").distinct(), "near-pairs")
-    links = runtime.materialize(_verified(records, sets, pairs, num, den), "near-links")
-    hot = met.filter("sig is not null")
-    if hot.isEmpty():
-        return members, links
-    labels = connected_components(links).select(F.col("node").alias("a"), F.col("component").alias("grp"))
-    marked = runtime.materialize(hot.join(labels, "a", "left").select("sig", F.col("a").alias("node"), F.coalesce("grp", "a").alias("grp"), "n", "b0", "b1", "block"), "near-crowded")
-    mixed = marked.groupBy("sig").agg(F.max("block").alias("last"), F.min("grp").alias("least"), F.max("grp").alias("most")).filter("least < most").select("sig", "last")
-    spread = marked.join(mixed, "sig").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    plan_of = lambda k: Plan(num, den, k, int(quantise(np.array([rare]))[0]))
+    links, only = None, None
+    while True:
+        plan = plan_of(combine)
+        indexed = records.mapInArrow(_emit_signatures(sets, plan, sketch_bits, shared, key, only), "sig long, node long, n int, b0 long, b1 long")
+        met = runtime.materialize(indexed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_bucket_pairs(num, den, full, block), _PAIR_DDL), "near-buckets")
+        links = _more_links(links, records, sets, met.filter("sig is null"), num, den, key)
+        hot = met.filter("sig is not null")
+        if hot.isEmpty():
+            runtime.drop_materialized(met)
+            return members, links
+        labels = connected_components(links).select(F.col("node").alias("a"), F.col("component").alias("grp"))
+        marked = runtime.materialize(hot.join(labels, "a", "left").select("sig", F.col("a").alias("node"), F.coalesce("grp", "a").alias("grp"), "n", "b0", "b1", "block"), "near-crowded")
+        runtime.drop_materialized(met, labels)
+        mixed = marked.groupBy("sig").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).filter("least < most").select("sig")
+        left = runtime.materialize(marked.join(mixed, "sig"), "near-mixed")
+        runtime.drop_materialized(marked)
+        longer = plan_of(combine + 1).short_from if combine < most else 1 << 30
+        # Records long enough for longer combinations are told apart by those; of the others each two blocks meet.
+        links = _blocks(left.filter(F.col("n") * num < longer * den), links, records, sets, num, den, key)
+        deeper = runtime.materialize(left.filter(F.col("n") >= longer).select("node").distinct(), "near-deeper")
+        runtime.drop_materialized(left)
+        count = deeper.count()
+        if not count:
+            return members, links
+        only, combine = _node_filter(spark, deeper, count), combine + 1
+        runtime.drop_materialized(deeper)
+
+
+def _blocks(rows: DataFrame, links: DataFrame, records: DataFrame, sets, num: int, den: int, key) -> DataFrame:
+    """The links, and those between different groups among crowded rows, found by comparing each two blocks of a signature in a task of their own."""
+    if rows.isEmpty():
+        return links
+    last = rows.groupBy("sig").agg(F.max("block").alias("last"))
+    spread = rows.join(last, "sig").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
     spread = spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).select(*_CROSS)
     crossed = spread.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high", "block", "node").mapInArrow(_block_pairs(num, den), _PAIR_DDL)
-    more = runtime.materialize(crossed.select("a", "b").distinct(), "near-pairs")
-    return members, runtime.materialize(links.unionByName(_verified(records, sets, more, num, den)), "near-links")
+    return _more_links(links, records, sets, crossed, num, den, key)
 
 
-def _verified(records: DataFrame, sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    spark = records.sparkSession
-    found, bits = pairs.count(), 1 << 16
-    while bits < min(NODE_FILTER_BITS, 16 * found):
-        bits *= 2
+def _more_links(links: DataFrame | None, records: DataFrame, sets, candidates: DataFrame, num: int, den: int, key) -> DataFrame:
+    """The links so far and the verified ones of the candidates (a, b), as one table."""
+    pairs = runtime.materialize(candidates.select("a", "b").distinct(), "near-pairs")
+    found, tokens = _verified(records, sets, pairs, num, den, key)
+    out = runtime.append(found, links, "near-links")
+    runtime.drop_materialized(pairs, tokens)
+    return out
+
+
+def _verified(records: DataFrame, sets, pairs: DataFrame, num: int, den: int, key) -> tuple[DataFrame, DataFrame]:
+    """The pairs that are alike, and the table of token sets they are read from."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    blobs = ends.mapInArrow(_fill_filter(bits), "segment int, blob binary").repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge_filter, "segment int, blob binary").collect()
-    shared = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in blobs])  # at most NODE_FILTER_BITS / 8 bytes
+    shared, bits = _node_filter(records.sparkSession, ends, pairs.count())
     # Copies of one set in several tasks give equal rows; any of them serves.
-    tokens = runtime.materialize(records.mapInArrow(_emit_sets(sets, bits, shared), "node long, tokens array<long>").groupBy("node").agg(F.first("tokens").alias("tokens")), "near-sets")
+    tokens = runtime.materialize(records.mapInArrow(_emit_sets(sets, bits, shared, key), "node long, tokens array<long>").groupBy("node").agg(F.first("tokens").alias("tokens")), "near-sets")
     left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     shared_tokens = F.size(F.array_intersect("ta", "tb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", shared_tokens.alias("k"), (F.size("ta") + F.size("tb")).alias("n"))
-    return both.filter(F.col("k") * den >= (F.col("n") - F.col("k")) * num).select("a", "b")
+    return both.filter(F.col("k") * den >= (F.col("n") - F.col("k")) * num).select("a", "b"), tokens
 
 
-def near_duplicates(records: DataFrame, num: int = 4, den: int = 5, least_entries: int = 1, sketch_bits: int = SKETCH_BITS, rare: int = RARE, full: int = FULL, block: int = BLOCK) -> DataFrame:
+def near_duplicates(
+    records: DataFrame, num: int = 4, den: int = 5, least_entries: int = 1, sketch_bits: int | None = None, rare: int = RARE, full: int = FULL, block: int = BLOCK, most: int = MOST, make=node_hashes
+) -> DataFrame:
     """group_id (smallest id of the group), record_id of every member but that one.
 
     records: id bigint and either text string or items array<string>. Alike: Jaccard similarity of at
     least num / den of the runs of three words, or of the distinct entries (of lists with at least
-    least_entries of them).
+    least_entries of them). sketch_bits: if None, so many that a counter has a token or so, from LEAST_SKETCH_BITS to SKETCH_BITS.
     """
     if not 0 < num <= den:
         raise ValueError("the threshold must lie in (0, 1]")
     runtime.ship_package(records.sparkSession)
     by_text = "text" in records.columns
     sets = _text_sets if by_text else _list_sets(least_entries)
+    if sketch_bits is None:  # a count of rows reads no text; records have some 2^6 tokens, lists fewer
+        sketch_bits = min(SKETCH_BITS, max(LEAST_SKETCH_BITS, records.count().bit_length() + (5 if by_text else 3)))
     records = records.select(F.col("id").cast("long"), "text" if by_text else "items")
-    members, links = _links(records, sets, num, den, sketch_bits, rare, full, block)
-    labels = connected_components(links).select(F.col("node"), F.col("component"))
-    placed = runtime.materialize(members.select("id", "node").join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("grp")), "near-placed")
+    members, links = _links(records, sets, num, den, sketch_bits, rare, full, block, most, make)
+    labels = connected_components(links)
+    placed = runtime.materialize(members.join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("grp")), "near-placed")
+    rows = placed.count()
+    runtime.drop_materialized(labels, links, members)
     groups = runtime.materialize(placed.groupBy("grp").agg(F.min("id").alias("group_id"), F.max("id").alias("last"), F.count("*").alias("n")).filter("group_id < last").select("grp", "group_id", "n"), "near-groups")
     # Groups of a thousandth of all rows number a thousand at most; only those are broadcast.
-    hot = max(1000, members.count() // 1000)
+    hot = max(1000, rows // 1000)
     out = placed.join(F.broadcast(groups.filter(F.col("n") >= hot)), "grp").unionByName(placed.join(groups.filter(F.col("n") < hot), "grp"))
     return out.filter("id <> group_id").select("group_id", F.col("id").alias("record_id")).distinct()
 

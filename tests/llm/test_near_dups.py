@@ -87,6 +87,57 @@ def test_one_group_of_copies_and_variants_in_blocks(spark):
     assert rows(N.near_duplicates(df, 3, 5, rare=1, full=4, block=8, sketch_bits=12)) == {(0, i) for i in range(1, 110)}
 
 
+@pytest.mark.parametrize("most", [2, 3, 6])
+def test_boilerplate_is_told_apart_by_longer_combinations(spark, most):
+    """All records share a long opening, so every short combination is crowded; only some are alike."""
+    rng = random.Random(most)
+    opening = " ".join(f"open{i}" for i in range(14))
+    texts = []
+    for _ in range(40):
+        body = " ".join(f"w{rng.randrange(500)}" for _ in range(rng.choice([6, 14, 30])))
+        texts += [f"{opening} {body}", f"{opening} {edited(rng, body, 2)}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    want = groups({i: shingles(t) for i, t in enumerate(texts)}, 3, 5)
+    assert want and rows(N.near_duplicates(df, 3, 5, rare=1, full=6, block=8, sketch_bits=14, most=most)) == want
+
+
+def test_every_token_frequent_and_a_hot_signature(spark):
+    """20,000 records of one template that differ in one place and pairs of others: no token is rare."""
+    words = " ".join(f"t{i}" for i in range(24))
+    made = spark.range(20_000).selectExpr("id", f"case when id < 16000 then concat('{words} ', id % 4000) else concat_ws(' ', transform(sequence(0, 19), k -> concat('v', (id div 2 * 31 + k * (id div 2 % 7 + 1)) % 40)), if(id % 2 = 0, 'end', 'of it')) end text")
+    got = N.near_duplicates(made.repartition(8), 3, 5, rare=2, sketch_bits=12)
+    big = got.filter("group_id = 0 and record_id < 16000")
+    assert big.count() == 15_999
+    later = {i: shingles(t) for i, t in made.filter("id >= 19000").collect()}
+    pairs = groups(later, 3, 5)
+    label = {r.record_id: r.group_id for r in got.filter("record_id >= 19000").collect()}
+    assert all(label.get(a, a) == label[b] for a, b in pairs)
+
+
+def test_sets_that_share_a_node_get_new_ones(spark):
+    def make(first, second, salt):
+        return N.node_hashes(first, second, salt) if salt else first % np.uint64(5)
+
+    texts = problems(9)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    want = groups({i: shingles(t) for i, t in enumerate(texts) if t and t.strip()}, 3, 5)
+    assert rows(N.near_duplicates(df, 3, 5, sketch_bits=14, make=make)) == want
+
+
+def test_load_of_counters_is_taken_off():
+    """Counters that all hold 300 others tell a token of 400 records from one of 2; counts of one stay apart."""
+    import zlib
+
+    import pyarrow as pa
+
+    total = np.full(1 << 8, 300, np.uint32)
+    total[:4] = [1, 302, 700, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([zlib.compress(total.tobytes())], pa.binary())], names=["segment", "counts"])
+    out = next(N._merge_counts(iter([batch]))).to_pylist()[0]
+    code = np.frombuffer(zlib.decompress(out["codes"]), np.uint8)
+    assert out["load"] == 300 and code[:4].tolist() == [1, 2, int(N.quantise(np.array([400]))[0]), 0] and set(code[4:].tolist()) == {2}
+
+
 def test_empty(spark):
     assert rows(N.near_duplicates(spark.createDataFrame([], "id long, text string"))) == set()
     assert rows(N.near_duplicates(spark.createDataFrame([], "id long, items array<string>"))) == set()
