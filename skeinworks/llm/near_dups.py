@@ -94,13 +94,13 @@ def _first_parent(column: pa.Array) -> int:
     return next((i for i, n in enumerate(pc.list_value_length(column).to_pylist()) if n), 0)
 
 
-def node_hashes(first: np.ndarray, second: np.ndarray, salt: int) -> np.ndarray:
-    """64 bits of the two hashes of each set."""
-    return tx.mix(first + U(salt) * second)
+def node_hashes(first: np.ndarray, second: np.ndarray | None, salt: int) -> np.ndarray:
+    """64 bits of the two hashes of each set; the second one is there if salt is not 0."""
+    return tx.mix(first + U(salt) * second if salt else first)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], sets, key) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """ids, values, offsets, node, size and a second hash of each valid row, in chunks; rows that do not count are left out.
+def _chunks(batches: Iterator[pa.RecordBatch], sets, key, check: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """ids, values, offsets, node, size and, if check, a second hash of each valid row, in chunks; rows that do not count are left out.
 
     key: the function that makes nodes of two hashes and a salt, and the salt.
     """
@@ -118,13 +118,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], sets, key) -> Iterator[tuple[np.n
                 ids = ids.filter(pa.array(ok))
             if not len(n):
                 continue
-            both = []
-            for start in (0, 77):
-                run = np.r_[U(0), np.cumsum(tx.mix(values + U(start)))]
-                both.append((run[bounds[1:]] - run[bounds[:-1]]) * tx._BASE + n.astype(U) + tx.mix(content + U(start)))
+            def of(start: int) -> np.ndarray:
+                run = np.r_[U(0), np.cumsum(tx.mix(values + U(start)))]  # noqa: B023
+                return (run[bounds[1:]] - run[bounds[:-1]]) * tx._BASE + n.astype(U) + tx.mix(content + U(start))  # noqa: B023
+
             make, salt = key
-            node = make(*both, salt)
-            yield ids.to_numpy(zero_copy_only=False).astype(np.int64), values, bounds, node.view(np.int64), n, tx.mix(both[1]).view(np.int64)
+            first, second = of(0), of(77) if check or salt else None
+            node = make(first, second, salt)
+            yield ids.to_numpy(zero_copy_only=False).astype(np.int64), values, bounds, node.view(np.int64), n, tx.mix(second).view(np.int64) if check else None
 
 
 # Frequencies
@@ -160,7 +161,7 @@ def _members_and_counts(sets, bits: int, key):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for ids, values, _, node, _, check in _chunks(batches, sets, key):
+        for ids, values, _, node, _, check in _chunks(batches, sets, key, True):
             yield rows(ids, node, check)
             parts.append((values >> U(tx.SET_BITS - bits)).astype(np.uint32))
             held += len(values)
