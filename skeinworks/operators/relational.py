@@ -13,6 +13,19 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
+def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in the given order, with all its columns."""
+    return top_k(df, keys, order, 1, "__place").drop("__place")
+
+
+def check_rate(hits: int, rows: int, most: float, what: str = "changes") -> float:
+    """The share of hits; an error if it is above most. No rows give 0."""
+    rate = hits / rows if rows else 0.0
+    if rate > most:
+        raise ValueError(f"{what}: {hits} of {rows} rows is more than {most:.0%}")
+    return rate
+
+
 def dense_id(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """Positions 0, 1, 2, ... in the order of the given columns, without sorting everything in one task.
 
@@ -60,10 +73,6 @@ def cooccurrence_counts(pairs: DataFrame, index: DataFrame, item: str, basket: s
     return pairs.join(counted, ["a", "b"], "left").withColumn("cooccur", F.coalesce("cooccur", F.lit(0)).cast("long"))
 
 
-def canonical_pair(a: str, b: str) -> tuple[Column, Column]:
-    return F.least(a, b), F.greatest(a, b)
-
-
 def largest_remainder(df: DataFrame, keys: list[str], total: str, share: str, priority: str) -> DataFrame:
     """allocated: whole parts of total by share within a group, the rest to the largest fractions (then priority)."""
     exact = F.greatest(F.col(total), F.lit(1)) * F.col(share)

@@ -50,14 +50,6 @@ def last_failures(spark, sf_dir: str) -> DataFrame:
     return last_errors(log, ["source_file"]).select("source_file", F.col("id").alias("answer_id"), "rank")
 
 
-@query("answer_repair", """WITH x AS (SELECT answer_id, verdict, final_answer, solution_steps, length(coalesce(final_answer, '')) AS rich FROM answered_rows)
-SELECT answer_id, max(rich) AS rich, count(*) AS deliveries FROM x GROUP BY answer_id HAVING count(*) > 1""")
-def answer_repair(spark, sf_dir: str) -> DataFrame:
-    """Answers that came more than once, with the richness of the better one."""
-    a = table(spark, sf_dir, "answered_rows")
-    return a.groupBy("answer_id").agg(F.max(F.length(F.coalesce("final_answer", F.lit("")))).cast("long").alias("rich"), F.count("*").alias("deliveries")).filter("deliveries > 1")
-
-
 @query("edge_judgement")
 def edge_judgement(spark, sf_dir: str) -> DataFrame:
     """Votes of the stand-in judge on every chain edge: share, mean confidence, blend and decision."""
