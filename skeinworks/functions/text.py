@@ -177,3 +177,20 @@ def scale_widths(c: Column, lo: Column, hi: Column, least: float, most: float) -
     """Min-max scaling of log1p values into [least, most]; the middle if all are equal."""
     v = F.log1p(F.greatest(F.coalesce(c.cast("double"), F.lit(0.0)), F.lit(0.0)))
     return F.when(hi - lo < 1e-12, (least + most) / 2).otherwise(least + (v - lo) / (hi - lo) * (most - least))
+
+
+def prompt_cut(c: Column, n: int) -> Column:
+    """The first n characters, '' for null."""
+    return F.substring(F.coalesce(c, F.lit("")), 1, n)
+
+
+def numeric_goal_with_free_symbols(c: Column, numeric: str, open_: str) -> Column:
+    """Whether a number is asked for, nothing in the text admits more answers, and two or more declared symbols have no value."""
+    t = normalize_text(c)
+    declared = declared_symbols(c)
+    return t.rlike(numeric) & ~t.rlike(open_) & (F.size(declared) >= 2) & (F.size(F.array_except(declared, assigned_symbols(c))) >= 2)
+
+
+def target_given(target: Column, clauses: Column) -> Column:
+    """Whether a target of at least six characters is, or stands in, one of the clauses."""
+    return (F.length(target) >= 6) & F.exists(clauses, lambda x: x.contains(target))
