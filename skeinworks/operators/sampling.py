@@ -64,3 +64,43 @@ def cluster_groups(df: DataFrame, group: str, item: str, terms: str, weight: str
         return pd.DataFrame({group: pdf[group], item: pdf[item], "cluster": near.astype(np.int32)})
 
     return df.select(group, item, terms, weight).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {item} {kind[item]}, cluster int")
+
+
+COUNTS = {"easy": 1, "medium": 2, "hard": 3}
+
+
+def rotated(seeds: list[str], targets: dict[str, str], slots: list[tuple[str, list[str]]], nodes: list[str]) -> list[list[str]]:
+    """The seeds of each slot (difficulty, backbone): the next unused one of the batch, then those aimed at its backbone and other nodes, then any."""
+    out, cursor = [], 0
+    for difficulty, backbone in slots:
+        want, chosen = COUNTS.get(difficulty, 3), []
+        if cursor < len(seeds):
+            chosen.append(seeds[cursor])
+            cursor += 1
+        places = {n: k for k, n in enumerate(dict.fromkeys([*backbone, *nodes]))}
+        rest = [q for q in dict.fromkeys(seeds) if q not in chosen]
+        rest.sort(key=lambda q: places.get(targets.get(q), len(places)))  # stable: the plan's order within a node
+        # One that needs no second keeps the first even where more could follow.
+        out.append(chosen + rest[: max(0, want - len(chosen))])
+    return out
+
+
+def rotate_seeds(batches: DataFrame) -> DataFrame:
+    """id, slot_id, seeds: seeds dealt fairly over the slots of each batch, within its row.
+
+    batches: id bigint, seeds, seed_nodes, nodes array<string>, slots array<struct<difficulty, backbone array<string>>>.
+    Null arrays count as empty; repeated seeds count once for choices.
+    """
+    runtime.ship_package(batches.sparkSession)
+
+    def run(frames):
+        for pdf in frames:
+            rows = []
+            for i, seeds, aims, nodes, slots in zip(pdf["id"], pdf["seeds"], pdf["seed_nodes"], pdf["nodes"], pdf["slots"]):
+                own = [] if seeds is None else list(seeds)
+                plan = [(s["difficulty"], list(s["backbone"]) if s["backbone"] is not None else []) for s in ([] if slots is None else slots)]
+                got = rotated(own, dict(zip(own, [] if aims is None else aims)), plan, [] if nodes is None else list(nodes))
+                rows += [(i, k + 1, x) for k, x in enumerate(got)]
+            yield pd.DataFrame(rows, columns=["id", "slot_id", "seeds"])
+
+    return batches.select("id", "seeds", "seed_nodes", "nodes", "slots").mapInPandas(run, "id long, slot_id int, seeds array<string>")

@@ -59,43 +59,57 @@ def bm25_pairs(docs: DataFrame, doc: str, terms: Column, pairs: DataFrame) -> Da
     return out.select("a", "b", T.clip01((F.col("ab") / F.col("sa") + F.col("ba") / F.col("sb")) / 2).alias("sim"))
 
 
-def _bounded(queries: DataFrame, query: str, terms: Column) -> list:
-    rows, n = queries.agg(F.count("*"), F.sum(F.size(terms))).first()
-    if rows > QUERY_ROWS or (n or 0) > QUERY_TERMS:
-        raise ValueError(f"more than {QUERY_ROWS} queries or {QUERY_TERMS} query terms: split the query set into blocks")
-    return queries.select(query, terms).collect()
-
-
-def bm25_top(docs: DataFrame, doc: str, terms: Column, queries: DataFrame, query: str, query_terms: Column, k: int) -> DataFrame:
+def _blocks(queries: DataFrame, query: str, terms: Column, rows: int | None = None, most: int | None = None) -> list[DataFrame]:
+    """The queries in blocks by a hash of their id, each of about rows queries and most terms at most, so that a block can be broadcast."""
+    rows, most = rows or QUERY_ROWS, most or QUERY_TERMS
+    n, size = queries.agg(F.count("*"), F.sum(F.size(terms))).first()
+    blocks = max(1, -(-n // rows), -(-(size or 0) // most))
+    if blocks == 1:
+        return [queries]
+    blocks *= 2  # hashing does not cut evenly
+    return [queries.filter(F.pmod(F.xxhash64(query), F.lit(blocks)) == k) for k in range(blocks)]
+
+
+def bm25_top(docs: DataFrame, doc: str, terms: Column, queries: DataFrame, query: str, query_terms: Column, k: int, block_rows: int | None = None) -> DataFrame:
     """query, doc, score, rank: the k best documents with a positive score of every query, ties by id.
 
-    Document statistics cover the corpus; scores are computed where the documents lie.
+    Document statistics cover the corpus; scores are computed where the documents lie, for one block of queries after another.
     """
     spark = docs.sparkSession
     runtime.ship_package(spark)
-    asked = _bounded(queries, query, query_terms)
-    wanted = sorted({t for _, ts in asked for t in ts or []})
     corpus = docs.select(F.col(doc).alias("__d"), terms.alias("__t"))
     n, total = corpus.agg(F.count("*"), F.sum(F.size("__t"))).first()
-    terms_frame = spark.createDataFrame([(t,) for t in wanted], "term string")
-    df = {r[0]: r[1] for r in corpus.select(F.explode(F.array_distinct("__t")).alias("term")).join(F.broadcast(terms_frame), "term").groupBy("term").agg(F.count("*")).collect()}  # query terms only
-    idf = {t: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for t, d in df.items()}
-    shared = spark.sparkContext.broadcast(([(q, ts or []) for q, ts in asked], idf, (total or 0) / n if n else 1.0, k, to_arrow_type(queries.schema[query].dataType)))
     kinds = f"q {queries.schema[query].dataType.simpleString()}, d {docs.schema[doc].dataType.simpleString()}, score double"
-    local = corpus.mapInArrow(_score_batches(shared), kinds)
+    local = None
+    for block in _blocks(queries, query, query_terms, block_rows):
+        asked = block.select(query, query_terms).collect()  # one block
+        wanted = sorted({t for _, ts in asked for t in ts or []})
+        terms_frame = spark.createDataFrame([(t,) for t in wanted], "term string")
+        df = {r[0]: r[1] for r in corpus.select(F.explode(F.array_distinct("__t")).alias("term")).join(F.broadcast(terms_frame), "term").groupBy("term").agg(F.count("*")).collect()}  # query terms only
+        idf = {t: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for t, d in df.items()}
+        shared = spark.sparkContext.broadcast(([(q, ts or []) for q, ts in asked], idf, (total or 0) / n if n else 1.0, k, to_arrow_type(queries.schema[query].dataType)))
+        got = corpus.mapInArrow(_score_batches(shared), kinds)
+        local = got if local is None else local.unionByName(got)
     best = top_k(local, ["q"], [F.col("score").desc(), F.col("d")], k)
     return best.select(F.col("q").alias(query), F.col("d").alias(doc), "score", "rank")
 
 
+DENSE = 1 << 22
+
+
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, idf, average, k, query_type = shared.value
         column = {t: i for i, t in enumerate(sorted(idf))}
-        weight = np.zeros((len(asked), len(column)))
+        # Postings of the query terms: for each term the queries that ask for it, with their weights.
+        weights: dict[tuple[int, int], float] = {}
         for i, (_, ts) in enumerate(asked):
             for t in ts:
-                if t in column:
-                    weight[i, column[t]] += idf[t]
+                if (c := column.get(t)) is not None:
+                    weights[c, i] = weights.get((c, i), 0.0) + idf[t]
+        keys = np.array(sorted(weights), np.int64).reshape(-1, 2)
+        query_of, weight = keys[:, 1], np.array([weights[tuple(x)] for x in keys.tolist()])
+        first = np.searchsorted(keys[:, 0], np.arange(len(column) + 1))
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         kind = None
         for b in batches:
@@ -103,20 +117,30 @@ def _score_batches(shared):
             ids = np.array(b.column(0).to_pylist(), dtype=object)
             for lo in range(0, len(ids), 1024):
                 lists = b.column(1).slice(lo, 1024).to_pylist()
-                tf = np.zeros((len(column), len(lists)))
+                cs, js, vs = [], [], []
                 for j, ts in enumerate(lists):
                     ts = ts or []
                     norm = K1 * (1 - B + B * len(ts) / max(1.0, average))
                     counts: dict[int, int] = {}
-                    for t in ts:
-                        if (c := column.get(t)) is not None:
-                            counts[c] = counts.get(c, 0) + 1
-                    for c, f in counts.items():
-                        tf[c, j] = f * (K1 + 1) / (f + norm)
-                score = weight @ tf
-                q, d = np.nonzero(score > 0)
-                held.append((q, ids[lo : lo + 1024][d], score[q, d]))
-            held = [_best(held, k)]
+                    for c in filter(None.__ne__, map(column.get, ts)):
+                        counts[c] = counts.get(c, 0) + 1
+                    cs += counts
+                    js += [j] * len(counts)
+                    vs += [f * (K1 + 1) / (f + norm) for f in counts.values()]
+                c, j, v = np.array(cs, np.int64), np.array(js, np.int64), np.array(vs)
+                n = first[c + 1] - first[c]
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[c], n)
+                key, value = query_of[at] * len(lists) + np.repeat(j, n), weight[at] * np.repeat(v, n)
+                if len(asked) * len(lists) <= DENSE:
+                    score = np.bincount(key, value, len(asked) * len(lists))
+                    met = np.flatnonzero(score > 0)
+                    score = score[met]
+                else:
+                    met, back = np.unique(key, return_inverse=True)
+                    score = np.bincount(back, value, len(met))
+                    met, score = met[score > 0], score[score > 0]
+                held.append((met // max(1, len(lists)), ids[lo : lo + 1024][met % max(1, len(lists))], score))
+            held = [_best(held, k)] if held else []
         if held and kind is not None:
             q, d, s = _best(held, k)
             yield pa.RecordBatch.from_arrays([pa.array([asked[i][0] for i in q.tolist()], query_type), pa.array(d.tolist(), kind), pa.array(s)], names=["q", "d", "score"])
@@ -136,15 +160,18 @@ def _best(parts: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q[rank < k], d[rank < k], s[rank < k]
 
 
-def copy_scores(docs: DataFrame, doc: str, text: str, seeds: DataFrame, seed: str, seed_text: str, least: float) -> DataFrame:
+def copy_scores(docs: DataFrame, doc: str, text: str, seeds: DataFrame, seed: str, seed_text: str, least: float, block_rows: int | None = None) -> DataFrame:
     """doc, seed, score of at least least: 0.75 Jaccard of seed tokens + 0.25 Jaccard of digit runs; 0 if either has no token."""
     spark = docs.sparkSession
     runtime.ship_package(spark)
     sides = seeds.select(seed, T.seed_tokens(F.col(seed_text)).alias("t"), T.digit_runs(F.col(seed_text)).alias("n"))
-    _bounded(sides, seed, F.concat("t", "n"))
-    shared = spark.sparkContext.broadcast(([(r[0], r[1], r[2]) for r in sides.collect()], to_arrow_type(seeds.schema[seed].dataType)))
     kinds = f"d {docs.schema[doc].dataType.simpleString()}, s {seeds.schema[seed].dataType.simpleString()}, score double"
-    scored = docs.select(F.col(doc).alias("d"), T.seed_tokens(F.col(text)).alias("t"), T.digit_runs(F.col(text)).alias("n")).mapInArrow(_copy_batches(shared, least), kinds)
+    own = docs.select(F.col(doc).alias("d"), T.seed_tokens(F.col(text)).alias("t"), T.digit_runs(F.col(text)).alias("n"))
+    scored = None
+    for block in _blocks(sides, seed, F.concat("t", "n"), block_rows):
+        shared = spark.sparkContext.broadcast(([(r[0], r[1], r[2]) for r in block.collect()], to_arrow_type(seeds.schema[seed].dataType)))
+        got = own.mapInArrow(_copy_batches(shared, least), kinds)
+        scored = got if scored is None else scored.unionByName(got)
     return scored.select(F.col("d").alias(doc), F.col("s").alias(seed), "score")
 
 

@@ -197,3 +197,21 @@ def concept_hits(spark, sf_dir: str) -> DataFrame:
     a = a.select("qid", T.normalize_text(F.col("problem")).alias("p"), k.alias("k"))
     by_word = F.filter("k", lambda x: F.exists(F.split(x, " "), lambda w: (F.length(w) >= 4) & F.col("p").contains(w)))
     return a.select("qid", F.size("k").alias("concepts"), F.size(F.filter("k", lambda x: F.col("p").contains(x))).alias("in_problem"), F.size(by_word).alias("word_in_problem"), F.size(F.filter(F.split("p", " "), lambda w: w != "")).alias("words"))
+
+
+@query(
+    "seed_rotation",
+    """WITH s AS (SELECT synth_id, list_distinct(list_filter(list_transform(coalesce(selected_seed_qids, []), lambda x: trim(x)), lambda x: x <> '')) AS d, list_filter(list_transform(coalesce(selected_seed_qids, []), lambda x: trim(x)), lambda x: x <> '') AS q FROM synth_refill WHERE len(chain_subnodes) > 0),
+o AS (SELECT synth_id, list_sort(list_transform(d, lambda x: {'p': list_position(q, x), 'x': x})) AS o, len(d) AS n FROM s)
+SELECT synth_id, slot.slot_id::INT AS slot_id, least(slot.want, n)::INT AS seeds, coalesce(o[slot.slot_id].x, o[1].x) AS first FROM o, (VALUES (1, 1), (2, 2), (3, 3)) AS slot(slot_id, want)""",
+)
+def seed_rotation(spark, sf_dir: str) -> DataFrame:
+    """How many seeds each of three slots gets, and its first one: the next of the batch, from the start again once all are used."""
+    from skeinworks.operators.sampling import rotate_seeds
+
+    s = table(spark, sf_dir, "synth_refill").filter(F.size("chain_subnodes") > 0)
+    seeds = F.array_distinct(F.filter(F.transform(F.coalesce("selected_seed_qids", F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""))
+    empty = F.array().cast("array<string>")
+    slots = F.array(*(F.struct(F.lit(x).alias("difficulty"), empty.alias("backbone")) for x in LEVELS))
+    b = s.select(F.col("synth_id").alias("id"), seeds.alias("seeds"), empty.alias("seed_nodes"), empty.alias("nodes"), slots.alias("slots"))
+    return rotate_seeds(b).select(F.col("id").alias("synth_id"), "slot_id", F.size("seeds").alias("seeds"), F.get("seeds", F.lit(0)).alias("first"))

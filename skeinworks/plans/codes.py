@@ -192,3 +192,17 @@ def default_subnodes(spark, sf_dir: str) -> DataFrame:
     c = candidates(spark, sf_dir).filter("subject is not null")
     rows = final_codes(c).join(mentions(spark, sf_dir), ["qid", "subject"]).withColumnRenamed("final", "code").join(main, "code").join(own, ["code", "concept"], "left")
     return rows.groupBy(F.coalesce("own", "main").alias("subnode_id")).agg(F.count("*").alias("mentions"), F.count("own").alias("by_concept"))
+
+
+@query("outline_catalogue", rf"""WITH c AS (SELECT msc_full AS code, trim(concept_cluster) AS d, domain FROM subnodes WHERE regexp_full_match(coalesce(msc_full, ''), '{C.FULL}') AND regexp_matches(coalesce(concept_cluster, ''), '^[a-z]'))
+SELECT code, left(code, 2) AS l1, left(code, 3) || 'xx' AS l2, min(d) AS desc, coalesce(any_value(a.x), '') AS l1_desc, coalesce(any_value(b.x), '') AS l2_desc FROM c
+LEFT JOIN (SELECT left(code, 2) AS k, min(domain) AS x FROM c WHERE domain IS NOT NULL GROUP BY 1) a ON a.k = left(code, 2) LEFT JOIN (SELECT left(code, 3) AS k, max(domain) AS x FROM c WHERE domain IS NOT NULL GROUP BY 1) b ON b.k = left(code, 3) GROUP BY code""")
+def outline_catalogue_query(spark, sf_dir: str) -> DataFrame:
+    """An outline's lines on three levels, written from the subnodes, read back as a catalogue."""
+    from skeinworks.sources.files import outline_catalogue
+
+    c = full_codes(spark, sf_dir).filter(F.coalesce("concept_cluster", F.lit("")).rlike("^[a-z]"))
+    named = c.filter("domain is not null")
+    heads = lambda n, end, pick: named.groupBy(F.substring("code", 1, n).alias("k")).agg(pick("domain").alias("x")).select(F.concat("k", F.lit(end), F.lit("  "), "x").alias("value"))
+    lines = heads(2, "-XX", F.min).unionByName(heads(3, "xx", F.max)).unionByName(c.select(F.concat(F.lit("  "), "code", F.lit(" "), "concept_cluster", F.lit(" ")).alias("value")))
+    return outline_catalogue(lines.unionByName(spark.createDataFrame([("",), ("no code here",)], "value string")))

@@ -109,8 +109,8 @@ SEM_SQL = """sem AS (SELECT * FROM (SELECT parent, a AS src, b AS dst, cooccur,
 @query("sem_sub_edges", BASE_SQL + SEM_SQL + "z AS (SELECT 1) SELECT parent, src, dst, cooccur, round(sim, 6) AS sim FROM sem")
 def sem_sub_edges(spark, sf_dir: str) -> DataFrame:
     """The 160 same-parent pairs that share most seeds without being prerequisites."""
-    pairs = full_pairs(spark, sf_dir)
-    left = G.undirected_anti(pairs, prerequisites(spark, sf_dir))
+    pairs = materialize(full_pairs(spark, sf_dir), "full-pairs")
+    left = G.undirected_anti(pairs, G.prerequisite_edges(pairs, MIN_COOCCUR, MIN_SIM, MIN_GAP))
     best = left.orderBy(F.col("cooccur").desc(), F.round("sim", 9).desc(), "a", "b").limit(160)
     return best.select("parent", F.col("a").alias("src"), F.col("b").alias("dst"), "cooccur", F.round("sim", 6).alias("sim"))
 
@@ -133,25 +133,34 @@ bridges AS (SELECT src, dst, count_if(score >= 0.45)::BIGINT AS bridge_count, av
 """
 
 
+BRIDGE = 0.45
+
+
 def bridges(spark, sf_dir: str) -> DataFrame:
     """src, dst, bridge_count, topk_mean, best of every two parents with a subnode pair above the threshold.
 
-    Subject sets are few and small, so the shared subjects of two subnodes are array functions on the pair,
-    and only pairs with a common term are scored by BM25.
+    Pairs without a common term stay below the threshold, so pairs are made from shared terms first; only parents that have a
+    bridge by those are then compared whole, as their next best pairs count for the mean.
     """
     s = subnodes(spark, sf_dir)
-    x = s.select(F.col("id").alias("a"), F.col("parent").alias("src"))
-    y = s.select(F.col("id").alias("b"), F.col("parent").alias("dst"))
-    pairs = x.join(y, x["src"] < y["dst"])  # 600 rows a side, a fixed table
     seeds_of = table(spark, sf_dir, "math_seed").select("qid", "subject").filter("subject is not null")
     subjects = materialize(seed_index(spark, sf_dir).join(seeds_of, "qid").groupBy("subnode_id").agg(F.collect_set("subject").alias("subjects")), "subjects")
-    sims = S.bm25_pairs(s, "id", doc_terms(), pairs.select("a", "b"))
-    out = pairs.join(sims, ["a", "b"], "left")
-    for end in ("a", "b"):
-        out = out.join(subjects.select(F.col("subnode_id").alias(end), F.col("subjects").alias(f"s{end}")), end, "left").withColumn(f"s{end}", F.coalesce(f"s{end}", F.array().cast("array<string>")))
-    scored = out.select("src", "dst", "a", "b", G.bridge_score(F.coalesce("sim", F.lit(0.0)), T.jaccard(F.col("sa"), F.col("sb"))).alias("score")).filter("score > 0")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        out = pairs.join(S.bm25_pairs(s, "id", doc_terms(), pairs.select("a", "b")), ["a", "b"], "left")
+        for end in ("a", "b"):
+            out = out.join(subjects.select(F.col("subnode_id").alias(end), F.col("subjects").alias(f"s{end}")), end, "left").withColumn(f"s{end}", F.coalesce(f"s{end}", F.array().cast("array<string>")))
+        return out.select("src", "dst", "a", "b", G.bridge_score(F.coalesce("sim", F.lit(0.0)), T.jaccard(F.col("sa"), F.col("sb"))).alias("score")).filter("score > 0")
+
+    words = s.select("id", "parent", F.explode(F.array_distinct(doc_terms())).alias("w"))
+    x = words.select(F.col("id").alias("a"), F.col("parent").alias("src"), "w")
+    y = words.select(F.col("id").alias("b"), F.col("parent").alias("dst"), "w")
+    near = materialize(x.join(y, "w").filter("src < dst").select("src", "dst", "a", "b").distinct(), "bridge-pairs")
+    good = materialize(scored(near).filter(f"score >= {BRIDGE}").select("src", "dst").distinct(), "bridge-parents")
+    a, b = s.select(F.col("id").alias("a"), F.col("parent").alias("src")), s.select(F.col("id").alias("b"), F.col("parent").alias("dst"))
+    scored = scored(materialize(good.join(a, "src").join(b, "dst"), "bridge-whole"))
     r = scored.withColumn("r", F.row_number().over(Window.partitionBy("src", "dst").orderBy(F.round("score", 9).desc(), "a", "b")))
-    agg = r.groupBy("src", "dst").agg(F.count_if(F.col("score") >= 0.45).alias("bridge_count"), F.avg(F.when(F.col("r") <= 3, F.col("score"))).alias("topk_mean"), F.max("score").alias("best"))
+    agg = r.groupBy("src", "dst").agg(F.count_if(F.col("score") >= BRIDGE).alias("bridge_count"), F.avg(F.when(F.col("r") <= 3, F.col("score"))).alias("topk_mean"), F.max("score").alias("best"))
     return agg.filter("bridge_count > 0")
 
 

@@ -176,11 +176,14 @@ def code_repair(spark, sf_dir: str) -> DataFrame:
     m = mentions(spark, sf_dir).select("qid", "concept").distinct()
     profile = R.top_k(m.join(rows, "qid").groupBy(F.col("old_code").alias("code"), "concept").agg(F.countDistinct("qid").alias("n")), ["code"], [F.col("n").desc(), F.col("concept")], 24).select("code", "concept")
     counts = rows.groupBy("subject", F.col("old_code").alias("code")).agg(F.count("*").alias("n"))
-    codes = profile.select("code").distinct().agg(F.collect_set("code").alias("codes"), F.count("*").alias("k"))  # one row
+    kinds = profile.select("code").distinct().agg(F.count("*").alias("k"))  # one row
     totals = rows.groupBy("subject").agg(F.count("*").alias("total"))
-    sized = rows.join(m.groupBy("qid").agg(F.count("*").alias("size")), "qid")
-    every = sized.join(totals, "subject").join(F.broadcast(codes)).withColumn("code", F.explode("codes")).drop("codes")
+    sized = rows.join(m.groupBy("qid").agg(F.count("*").alias("size")), "qid").join(totals, "subject")
     hits = m.join(profile, "concept").groupBy("qid", "code").agg(F.count("*").alias("hits"))
+    # No other code can be best: one without a hit scores by its prior alone, and the subject's commonest has the best of those.
+    common = counts.groupBy("subject").agg(F.min_by("code", F.struct(-F.col("n"), F.col("code"))).alias("code"))
+    tried = hits.select("qid", "code").unionByName(rows.join(common, "subject").select("qid", "code")).unionByName(rows.select("qid", F.col("old_code").alias("code"))).distinct()
+    every = sized.join(tried, "qid").join(F.broadcast(kinds), how="cross")
     scored = every.join(counts, ["subject", "code"], "left").join(hits, ["qid", "code"], "left")
     scored = scored.withColumn("score", 0.8 * F.coalesce("hits", F.lit(0)) / F.col("size") + 0.2 * (F.coalesce("n", F.lit(0)) + 1) / (F.col("total") + F.col("k")).cast("double"))
     best = scored.groupBy("qid", "old_code").agg(F.min_by(F.struct("code", "score"), F.struct(-F.round("score", 9), F.col("code"))).alias("best"), F.max(F.when(F.col("code") == F.col("old_code"), F.col("score"))).alias("old"))

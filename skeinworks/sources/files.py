@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skeinworks.operators.relational import conform, dense_id
+from skeinworks.operators.relational import conform, dense_id, keep_first
 
 SEED_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("problem", "solution", "level", "subject")])
 
@@ -99,6 +100,16 @@ def parse_outline(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(level.alias("level"), code.alias("code"), desc.alias("desc")).filter("level is not null")
 
 
+def outline_catalogue(lines: DataFrame, column: str = "value") -> DataFrame:
+    """code, l1, l2, desc, l1_desc, l2_desc of an outline's full codes, each with the headings above it ('' where one is missing)."""
+    rows = parse_outline(lines, column).groupBy("level", "code").agg(F.min("desc").alias("desc"))
+    of = lambda level: rows.filter(F.col("level") == level)
+    full = of("full").select("code", F.substring("code", 1, 2).alias("l1"), F.concat(F.substring("code", 1, 3), F.lit("xx")).alias("l2"), "desc")
+    for k in ("l1", "l2"):
+        full = full.join(of(k).select(F.col("code").alias(k), F.col("desc").alias(f"{k}_desc")), k, "left")
+    return full.select("code", "l1", "l2", "desc", *(F.coalesce(f"{k}_desc", F.lit("")).alias(f"{k}_desc") for k in ("l1", "l2")))
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """One id a line, blank lines left out."""
     return spark.read.text(path).select(F.trim("value").alias("id")).filter("id <> ''").distinct()
@@ -112,3 +123,27 @@ def write_shards(df: DataFrame, order: list[str], path: str, rows: int = 100, pr
     numbered = dense_id(df, order, "__n")
     named = numbered.withColumn("shard", F.format_string(f"{prefix}_%05d", F.floor(F.col("__n") / rows) + 1))
     named.drop("__n").repartition("shard").write.mode(mode).partitionBy("shard").option("ignoreNullFields", False).json(path)
+
+
+def read_descriptions(spark: SparkSession, path: str) -> DataFrame:
+    """code, desc of a catalogue: codes in upper case and trimmed, blank descriptions left out, each code's first row in the order of its descriptions' lines.
+
+    A missing file gives an empty frame, as descriptions are an extra.
+    """
+    try:
+        rows = spark.read.option("header", True).csv(path)
+    except AnalysisException:
+        return spark.createDataFrame([], "code string, desc string")
+    clean = rows.select(F.upper(F.trim("code")).alias("code"), F.trim("desc").alias("desc"), F.monotonically_increasing_id().alias("__line"))
+    return keep_first(clean.filter("code <> '' and desc <> ''"), ["code"], [F.col("__line")]).drop("__line")
+
+
+def append_rolling(df: DataFrame, order: list[str], path: str, rows: int = 100, prefix: str = "shard") -> int:
+    """Append rows to folders shard=prefix_00001, ... of rows rows each, filling up the last one first; gives the rows now there."""
+    try:
+        done = df.sparkSession.read.json(path).count()
+    except AnalysisException:
+        done = 0
+    numbered = dense_id(df, order, "__n").withColumn("shard", F.format_string(f"{prefix}_%05d", F.floor((F.col("__n") + done) / rows) + 1))
+    numbered.drop("__n").repartition("shard").write.mode("append").partitionBy("shard").option("ignoreNullFields", False).json(path)
+    return done + df.count()
