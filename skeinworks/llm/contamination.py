@@ -228,3 +228,13 @@ dg AS (SELECT doc_id, hash(w[p:p + 12]) h FROM (SELECT doc_id, w, unnest(range(1
 ig AS (SELECT DISTINCT item_id, hash(w[p:p + 12]) h FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) p FROM i WHERE len(w) >= 13))
 SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (h)
 """
+
+# The longest shared run of a pair: words that agree on one diagonal (place in the document less place in the item), counted in a row.
+P6_LEAKED_SQL = P6_SQL.replace("SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (h)", "") + r""",
+dp AS (SELECT doc_id, p, hash(w[p:p + 12]) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) p FROM d WHERE len(w) >= 13)),
+ip AS (SELECT item_id, p, hash(w[p:p + 12]) AS h FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) p FROM i WHERE len(w) >= 13)),
+m AS (SELECT DISTINCT doc_id, item_id, dp.p - ip.p AS diagonal, dp.p FROM dp JOIN ip USING (h)),
+g AS (SELECT doc_id, item_id, diagonal, p - row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY p) AS run FROM m),
+s AS (SELECT doc_id, item_id, count(*) + 12 AS span FROM g GROUP BY doc_id, item_id, diagonal, run)
+SELECT item_id, suite, coalesce(documents, 0)::BIGINT AS documents, coalesce(longest_span, 0)::INT AS longest_span FROM eval_items LEFT JOIN (SELECT item_id, count(DISTINCT doc_id) AS documents, max(span) AS longest_span FROM s GROUP BY item_id) USING (item_id)
+"""

@@ -29,6 +29,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_found": near_dups.P1_SQL,
         "p2_found": quota_sample.P2_SQL,
         "p2_report": quota_sample.P2_REPORT_SQL,
         "p4_found": canonical_dups.P4_SQL,
@@ -36,5 +37,6 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": cooccurrence.P5_SQL,
         "p5_lift": cooccurrence.P5_LIFT_SQL,
         "p6_found": contamination.P6_SQL,
+        "p6_leaked_items": contamination.P6_LEAKED_SQL,
         "p7_checks": mixing.P7_CHECKS_SQL,
     }

@@ -693,3 +693,17 @@ def p1_found(spark, sf_dir: str) -> DataFrame:
     seeds = near_duplicates(seed_records(spark, sf_dir), 3, 4, least_entries=4)
     tag = lambda df, f: df.select(F.lit(f).alias("field"), "group_id", "record_id")
     return tag(problems, "problem").unionByName(tag(seeds, "seed_qids"))
+
+
+P1_SQL = r"""
+WITH RECURSIVE r AS (SELECT row_id AS id, problem AS t FROM math_train UNION ALL SELECT synth_id, problem FROM synth_refill),
+w AS (SELECT id, any_value(t) AS t, regexp_extract_all(lower(any_value(t)), '[a-z0-9]+') AS w FROM r WHERE id IS NOT NULL AND regexp_matches(t, '[^\s\p{Z}]') GROUP BY id),
+f AS (SELECT 'problem' AS field, id, unnest(CASE WHEN len(w) < 3 THEN ['few ' || CASE WHEN len(w) > 0 THEN array_to_string(w, ' ') ELSE lower(trim(t)) END] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS x FROM w
+  UNION ALL SELECT 'seed_qids', synth_id, unnest(q) FROM (SELECT synth_id, list_distinct(list_filter(selected_seed_qids, lambda x: x IS NOT NULL)) AS q FROM synth_refill) WHERE len(q) >= 4),
+n AS (SELECT field, id, count(*) AS n FROM f GROUP BY ALL),
+p AS (SELECT a.field, a.id AS a, b.id AS b, count(*) AS k FROM f a JOIN f b ON a.field = b.field AND a.x = b.x AND a.id < b.id GROUP BY ALL),
+e AS (SELECT p.field, a, b FROM p JOIN n na ON na.field = p.field AND na.id = a JOIN n nb ON nb.field = p.field AND nb.id = b WHERE CASE p.field WHEN 'problem' THEN k * 5 >= 3 * (na.n + nb.n - k) ELSE k * 4 >= 3 * (na.n + nb.n - k) END),
+l AS (SELECT field, a AS u, b AS v FROM e UNION ALL SELECT field, b, a FROM e),
+c AS (SELECT field, u, v FROM l UNION SELECT c.field, c.u, l.v FROM c JOIN l ON l.field = c.field AND l.u = c.v)
+SELECT field, least(u, min(v)) AS group_id, u AS record_id FROM c GROUP BY field, u HAVING min(v) < u
+"""
