@@ -28,6 +28,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,7 @@ CLASSES = tuple(FUNCTIONS)
 # Chosen by answer_calibration.calibrate on half of its labelled pairs, checked on the other half (see tests/llm).
 CUTOFFS = {c: x["cutoff"] for c, x in CALIBRATED.items()}
 ROUNDS = 100
+SHARED_ROWS = 1024
 PRIOR_SHARE = 0.002
 FILTER_BITS = 1 << 26
 BITS_PER_RUN = 16
@@ -76,6 +78,7 @@ _lead = re.compile(r"^[\s\"'“«]*(?:(?:the\s+)?(?:final\s+)?answer(?:\s+is)?\s
 _formula = re.compile(r"\$\$?[^$]*\$\$?|\\[a-zA-Z]+")
 _quoted = re.compile(r"\([^()]*[\"“«][^\"”»]*[\"”»][^()]*\)|\"[^\"]{1,20}\"")
 _letters = re.compile(r"[^\W\d_]+")
+_ascii_letters = re.compile("[a-z]+")
 _end = re.compile(r"[.!?。！？।؟॥…][\"'”’»」』)\]*]*\s*$|[\]}$]\s*$")
 _real_end = re.compile(r"[.!?。！？।؟॥][\"'”’»」』)\]*]*\s*$")
 _not_word = re.compile(r"[\W_]+")
@@ -138,28 +141,28 @@ _scripts = _Scripts()
 class Profile:
     """What a text shows of its language: letters by script, function words and special letters by language."""
 
-    __slots__ = ("scripts", "points", "hints", "short")
+    __slots__ = ("scripts", "points", "hints", "words")
 
     def __init__(self, text: str = ""):
         self.scripts: dict[str, int] = {}
         self.points: dict[str, float] = {}
         self.hints: dict[str, int] = {}
-        self.short: set[str] = set()
+        self.words: list[str] = []
         if not text:
             return
         if "$" in text or "\\" in text:
             text = _formula.sub(" ", text)
-        words = _letters.findall(text.lower())
         if text.isascii():
+            self.words = words = _ascii_letters.findall(text.lower())
             if words:
-                self.scripts = {"l": sum(map(len, words))}
+                self.scripts = {"l": len("".join(words))}
         else:
+            self.words = words = _letters.findall(text.lower())
             letters = text.translate(_scripts)
             self.scripts = {k: n * (3 if k in "jz" else 1) for k in _SCRIPT_NAMES if (n := letters.count(k))}
             for c in set(text):
                 if c in _LATIN_HINT:
                     self.hints[_LATIN_HINT[c]] = self.hints.get(_LATIN_HINT[c], 0) + text.count(c)
-        self.short = {w for w in set(words) if len(w) <= 4}
         points = self.points
         for w in filter(_STOP.__contains__, words):
             for k, v in _STOP[w]:
@@ -169,7 +172,10 @@ class Profile:
         for mine, its in ((self.scripts, other.scripts), (self.points, other.points), (self.hints, other.hints)):
             for k, v in its.items():
                 mine[k] = mine.get(k, 0) + v
-        self.short |= other.short
+        self.words += other.words
+
+    def short(self) -> set[str]:
+        return {w for w in set(self.words) if len(w) <= 4}
 
     def script(self) -> str | None:
         """The script of most letters; Japanese if there is some kana."""
@@ -203,8 +209,12 @@ def language(text: str) -> str | None:
     return Profile(text).language()
 
 
+_ascii_signs = {k: None for k in range(128) if not chr(k).isalnum()}
+
+
 def _plain(text: str) -> str:
-    return _not_word.sub("", text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower())
+    """Letters and digits in lower case."""
+    return text.lower().translate(_ascii_signs) if text.isascii() else _not_word.sub("", unicodedata.normalize("NFKC", text).lower())
 
 
 class _Unseen(dict):
@@ -275,13 +285,35 @@ def _behind(pattern: re.Pattern, text: str) -> str:
     return text[m.end() :] if m else text
 
 
-def _share_inside(pieces: list[str], p: str) -> list[tuple[int, int]]:
-    """For each piece how many of its runs of five characters stand in p, and how many there are."""
-    known = {p[i : i + 5] for i in range(len(p) - 4)}
-    out = []
-    for x in pieces:
-        n = len(x) - 4
-        out.append((sum(map(known.__contains__, [x[i : i + 5] for i in range(n)])), n) if n > 0 else (int(x in p), 1))
+GRAM = 5
+
+
+def _shares_inside(rows: list[tuple[list[str], str]]) -> list[list[tuple[int, int]]]:
+    """For each row's pieces how many of their runs of GRAM characters stand in the row's other text, and how many there are.
+
+    All rows at a time: runs are hashed with their row's number and met by one sort. A piece shorter than a run counts as one.
+    """
+    texts = [t for pieces, p in rows for t in (p, *pieces)]
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.array([len(t) for t in texts], np.int64)
+    end = np.cumsum(size)
+    row = np.repeat(np.arange(len(rows)), [1 + len(pieces) for pieces, _ in rows])
+    n = np.maximum(size - GRAM + 1, 0)
+    which = np.repeat(np.arange(len(texts)), n)
+    at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(end - size, n)
+    key = tx.run_hashes(code, GRAM)[at] >> np.uint64(22) | row[which].astype(np.uint64) << np.uint64(42)
+    first = np.zeros(len(texts), bool)
+    first[np.cumsum([0, *(1 + len(pieces) for pieces, _ in rows)])[:-1]] = True
+    asked = first[which]
+    base, own, whose = np.sort(key[asked]), key[~asked], which[~asked]
+    order = np.argsort(own)  # sorted queries are met far faster
+    own = own[order]
+    hit = base[np.minimum(np.searchsorted(base, own), len(base) - 1)] == own if len(base) else np.zeros(len(own), bool)
+    hits = np.bincount(whose[order[hit]], minlength=len(texts)).tolist()
+    out, k = [], 0
+    for pieces, p in rows:
+        out.append([(hits[k + 1 + i], len(x) - GRAM + 1) if len(x) >= GRAM else (int(x in p), 1) for i, x in enumerate(pieces)])
+        k += 1 + len(pieces)
     return out
 
 
@@ -289,34 +321,66 @@ def _open_structure(text: str) -> bool:
     return text.count("$") % 2 == 1 or text.count("{") > text.count("}") or text.count("(") > text.count(")") or text.count("[") > text.count("]")
 
 
-def votes(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None) -> tuple[list[str], str, str]:
-    """The labelling functions' votes for each class, with an open last step taken as one the corpus goes on after; the votes for
-    truncated_step with that step taken as finished; and the last step."""
+@dataclass
+class _Pair:
+    """A pair's parts as the labelling functions read them."""
+
+    problem: str
+    raw: list[str]
+    prose: list[str]
+    final: str
+    finish: str
+    bare: str
+    left: str
+    math_sign: bool
+    said: list[str]
+    p: str
+    pieces: list[str]
+
+
+def _read(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None) -> _Pair:
     problem, final = _strip(problem), _strip(final)
     raw = [x for s in steps or [] if (x := _strip(s))]
-    bodies = [_behind(_lead, _behind(_label, s)) for s in raw]
-    prose = [b for b in bodies if b]
+    prose = [b for s in raw if (b := _behind(_lead, _behind(_label, s)))]
+    bare = final if final.isalnum() else _wrappers.sub("", _tags.sub("", final))
+    left = _plain(_answer_words.sub("", bare))
+    math_sign = ("\\" in final or not final.isascii()) and _math_sign.search(final) is not None
+    said = [*prose, *([final] if left or math_sign else [])]
+    return _Pair(problem, raw, prose, final, (finish or "").strip().lower(), bare, left, math_sign, said, _plain(problem), [x for y in said if (x := _plain(_behind(_lead, y)))])
+
+
+def votes(problem: str | None, steps: list[str | None] | None, final: str | None, finish: str | None) -> tuple[list[str], str, str]:
+    """The votes of _votes for one pair."""
+    pair = _read(problem, steps, final, finish)
+    return _votes(pair, _shares_inside([(pair.pieces, pair.p)])[0])
+
+
+def _votes(pair: _Pair, inside: list[tuple[int, int]]) -> tuple[list[str], str, str]:
+    """The labelling functions' votes for each class, with an open last step taken as one the corpus goes on after; the votes for
+    truncated_step with that step taken as finished; and the last step. inside: how much of each piece stands in the problem."""
+    problem, raw, prose, final, left, math_sign, said = pair.problem, pair.raw, pair.prose, pair.final, pair.left, pair.math_sign, pair.said
     end = _plain(_behind(_lead, final))
     if end == "wrongproblem":
         none = ["-" * len(fs) for _, fs in FUNCTIONS.values()]
         return none, none[3], ""
-    length = (finish or "").strip().lower()
-    stopped = _vote(length in ("length", "max_tokens"), length == "stop")
+    stopped = _vote(pair.finish in ("length", "max_tokens"), pair.finish == "stop")
 
     # empty_answer
-    bare = final if final.isalnum() else _wrappers.sub("", _tags.sub("", final))
-    left = _plain(_answer_words.sub("", bare))
-    math_sign = ("\\" in final or not final.isascii()) and _math_sign.search(final) is not None
     blank = not left and not math_sign
     word = bool(left) and left in PLACEHOLDERS and len(final) < 40
     digits = any(map(str.isdigit, final))
     told = bool(left) and (left in _plain("".join(prose)) if not digits else True)
-    empty = _vote(blank, True) + _vote(word, True) + _vote(not digits and not math_sign and len(_plain(bare)) <= 3, True) + _vote(not digits and not math_sign and not told, digits or math_sign or told)
+    empty = _vote(blank, True) + _vote(word, True) + _vote(not digits and not math_sign and len(_plain(pair.bare)) <= 3, True) + _vote(not digits and not math_sign and not told, digits or math_sign or told)
 
     # refusal
-    said = [*prose, *([final] if left or math_sign else [])]
+    ask, tell = Profile(problem), Profile()
+    each = [Profile(_quoted.sub(" ", b) if '"' in b or "(" in b else b) for b in prose]
+    for x in each:
+        tell.add(x)
     whole = "\n".join(said)
-    words = set(_letters.findall(whole.lower()))
+    words = set(tell.words)
+    if len(said) > len(prose):
+        words.update(_letters.findall(final.lower()))
     foreign_script = not whole.isascii() and _beyond_latin.search(whole) is not None
     cannot = (foreign_script or not words.isdisjoint(CANNOT_WORDS)) and any((_cannot.search(x) or _cannot_other.search(x)) and not (_not_unique.search(x) and not _apology.search(x)) for x in said[-2:])
     refusal = (
@@ -328,9 +392,7 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
     )
 
     # copied_question
-    p = _plain(problem)
-    pieces = [x for y in said if (x := _plain(_behind(_lead, y)))]
-    inside = _share_inside(pieces, p)
+    p, pieces = pair.p, pair.pieces
     hits, runs = sum(h for h, _ in inside), sum(n for _, n in inside)
     enough = sum(map(len, pieces)) >= 12 and len(p) >= 12
     share = hits / runs if runs else 0.0
@@ -353,21 +415,18 @@ def votes(problem: str | None, steps: list[str | None] | None, final: str | None
         )
 
     # other_language
-    ask, tell = Profile(problem), Profile()
-    each = [Profile(_quoted.sub(" ", b) if '"' in b or "(" in b else b) for b in prose]
-    for x in each:
-        tell.add(x)
     one, two, sp, ss = ask.language(), tell.language(), ask.script(), tell.script()
     per = [k for x in each if (k := x.language())]
     other = sum(k != one for k in per) / len(per) if per and one else None
-    common = len(ask.short & tell.short)
+    short, short2 = ask.short(), tell.short()
+    common = len(short & short2)
     hint, hint2 = (max(x.hints, key=x.hints.get) if x.hints else None for x in (ask, tell))
     both = bool(sp and ss)
     foreign = (
         _vote(bool(one and two and one != two), bool(one and two and one == two))
         + _vote(both and sp != ss, both and sp == ss and sp != "latin")
         + _vote(other is not None and other > 0.6, other is not None and other < 0.4)
-        + _vote(both and len(tell.short) >= 4 and len(ask.short) >= 4 and not common, common >= 2)
+        + _vote(both and len(short2) >= 4 and len(short) >= 4 and not common, common >= 2)
         + _vote(bool(hint and hint2 and hint != hint2), bool(hint and hint2 and hint == hint2))
     )
 
@@ -396,9 +455,10 @@ _ROW = "answer_id long, pattern string, if_finished string, keys array<long>, un
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, *fields = (b.column(i).to_pylist() for i in range(b.num_columns))
-        got = []
-        for row in zip(*fields):
-            out, finished, last = votes(*row)
+        got, pairs = [], [_read(*row) for row in zip(*fields)]
+        shares = [x for k in range(0, len(pairs), SHARED_ROWS) for x in _shares_inside([(q.pieces, q.p) for q in pairs[k : k + SHARED_ROWS]])]
+        for pair, inside in zip(pairs, shares):
+            out, finished, last = _votes(pair, inside)
             asks = bool(last) and finished != out[3]
             keys, unseen = ending_keys(last) if asks else (None, None)
             got.append(("|".join(out), "|".join([*out[:3], finished, *out[4:]]) if asks else None, keys, unseen))
