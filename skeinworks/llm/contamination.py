@@ -5,9 +5,10 @@ RUN + WINDOW - 1 = 13 shared words has a whole window in common, so both sides k
 fingerprint in it; each common fingerprint is then extended word by word to both sides, and counts only
 if the shared run reaches 13 words. Nothing shorter passes and nothing of that length is missed.
 
-The fingerprints of the held-out items are broadcast while their words number at most ITEM_WORDS
-(about 100 bytes each); beyond that the fingerprints of both sides are joined by a shuffle and the
-texts of the joined pairs are fetched to extend the hits. Both ways give the same rows.
+Equal fingerprints that follow each other at one gap, as in repetitive text, are met by diagonals, so a text of equal words
+takes work by its length. The fingerprints of the held-out items are broadcast, about 100 bytes a word, in blocks of about ITEM_WORDS
+words: larger sets take one pass over the corpus for each block. Neither a document nor a fingerprint is ever shuffled, so
+common phrases make no hot key.
 
 Defined results: rows with a null id or text give none; repeated rows give one; texts of fewer than 13
 words give none; empty tables give an empty frame; extra columns are ignored.
@@ -16,6 +17,7 @@ words give none; empty tables give an empty frame; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -154,32 +156,6 @@ def _scan(shared):
     return run
 
 
-def _emit_fingerprints(span: int, run_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h, offsets = tx.hash_word_lists(tx.word_lists(b.column(1).to_pylist()))
-            pos, fp = fingerprints(h, offsets, run_words, span - run_words + 1)
-            who = b.column(0).to_numpy(zero_copy_only=False)[tx.owners(offsets)[pos]]
-            pair = np.unique(np.stack([who.astype(np.int64), fp.view(np.int64)], axis=1), axis=0) if len(pos) else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64())], names=["id", "fp"])
-
-    return run
-
-
-def _extend_pairs(span: int, run_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, text, item, other = (b.column(i).to_pylist() for i in range(4))
-            by_item: dict[int, list[int]] = {}
-            for k, i in enumerate(item):
-                by_item.setdefault(i, []).append(k)
-            for i, ks in by_item.items():
-                index = ItemIndex([i], [other[ks[0]]], span, run_words)
-                yield _rows([doc[k] for k in ks], index.ids, index.hits([text[k] for k in ks]))
-
-    return run
-
-
 def contaminated(documents: DataFrame, items: DataFrame, span: int = SPAN, run: int = RUN, item_words: int = ITEM_WORDS) -> DataFrame:
     """doc_id, item_id, words_shared (the longest run) of every document that shares span words in a row with an item.
 
@@ -191,18 +167,19 @@ def contaminated(documents: DataFrame, items: DataFrame, span: int = SPAN, run:
     runtime.ship_package(spark)
     docs = documents.select("doc_id", "text").filter("doc_id is not null and text is not null")
     held = items.select("item_id", "text").filter("item_id is not null and text is not null")
-    words = held.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0  # at most so many words
-    if words <= item_words:
-        rows = held.collect()
-        shared = spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows], span, run))
-        found = docs.mapInArrow(_scan(shared), RESULT)
-    else:
-        emit = _emit_fingerprints(span, run)
-        left = docs.mapInArrow(emit, "id long, fp long").withColumnRenamed("id", "doc_id")
-        right = held.mapInArrow(emit, "id long, fp long").withColumnRenamed("id", "item_id")
-        pairs = left.join(right, "fp").select("doc_id", "item_id").distinct()
-        both = pairs.join(docs, "doc_id").join(held.withColumnRenamed("text", "item_text"), "item_id").select("doc_id", "text", "item_id", "item_text")
-        found = both.mapInArrow(_extend_pairs(span, run), RESULT)
+    rows, words = held.agg(F.count("*"), F.sum(F.length("text") / 2 + 1)).first()  # at most so many words
+    blocks = max(1, min(rows, ceil((words or 0) / max(1, item_words))))
+    found = None
+    for k in range(blocks):
+        block = held if blocks == 1 else held.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        own = block.collect()  # one block
+        shared = spark.sparkContext.broadcast(([r[0] for r in own], [r[1] for r in own], span, run))
+        hits = docs.mapInArrow(_scan(shared), RESULT)
+        if blocks == 1:
+            found = hits
+        else:
+            found = runtime.append(hits, found, "leaks")
+            shared.unpersist()
     return found.groupBy("doc_id", "item_id").agg(F.max("words_shared").alias("words_shared"))
 
 
