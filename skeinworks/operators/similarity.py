@@ -78,15 +78,18 @@ def bm25_top(docs: DataFrame, doc: str, terms: Column, queries: DataFrame, query
     spark = docs.sparkSession
     runtime.ship_package(spark)
     corpus = docs.select(F.col(doc).alias("__d"), terms.alias("__t"))
-    n, total = corpus.agg(F.count("*"), F.sum(F.size("__t"))).first()
+    # Each document's length under a null term, and its distinct terms: one pass gives the lengths and the query terms' frequencies.
+    length = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.size("__t").cast("long").alias("n")))
+    parts = corpus.select(F.explode(F.concat(length, F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("term"), F.lit(1).cast("long").alias("n"))))).alias("p")).select("p.term", "p.n")
     kinds = f"q {queries.schema[query].dataType.simpleString()}, d {docs.schema[doc].dataType.simpleString()}, score double"
     local = None
     for block in _blocks(queries, query, query_terms, block_rows):
         asked = block.select(query, query_terms).collect()  # one block
         wanted = sorted({t for _, ts in asked for t in ts or []})
-        terms_frame = spark.createDataFrame([(t,) for t in wanted], "term string")
-        df = {r[0]: r[1] for r in corpus.select(F.explode(F.array_distinct("__t")).alias("term")).join(F.broadcast(terms_frame), "term").groupBy("term").agg(F.count("*")).collect()}  # query terms only
-        idf = {t: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for t, d in df.items()}
+        terms_frame = F.broadcast(spark.createDataFrame([(t,) for t in [None, *wanted]], "term string").withColumnRenamed("term", "w"))  # query terms only
+        df = {r[0]: (r[1], r[2]) for r in parts.join(terms_frame, F.col("term").eqNullSafe(F.col("w")), "left_semi").groupBy("term").agg(F.count("*"), F.sum("n")).collect()}
+        n, total = df.pop(None, (0, 0))
+        idf = {t: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for t, (d, _) in df.items()}
         shared = spark.sparkContext.broadcast(([(q, ts or []) for q, ts in asked], idf, (total or 0) / n if n else 1.0, k, to_arrow_type(queries.schema[query].dataType)))
         got = corpus.mapInArrow(_score_batches(shared), kinds)
         local = got if local is None else local.unionByName(got)
@@ -110,6 +113,15 @@ def _score_batches(shared):
         keys = np.array(sorted(weights), np.int64).reshape(-1, 2)
         query_of, weight = keys[:, 1], np.array([weights[tuple(x)] for x in keys.tolist()])
         first = np.searchsorted(keys[:, 0], np.arange(len(column) + 1))
+        # Terms that an eighth of the queries ask for are scored by one product of matrices, as far as that fits; the others by postings.
+        asks = np.diff(first)
+        common = np.argsort(-asks, kind="stable")[: max(0, DENSE * 4 // max(1, len(asked)))]
+        common = common[asks[common] * 8 >= len(asked)]
+        row_of = np.full(len(column), -1)
+        row_of[common] = np.arange(len(common))
+        table_of = np.zeros((len(asked), len(common)))
+        for r, c in enumerate(common.tolist()):
+            table_of[query_of[first[c] : first[c + 1]], r] = weight[first[c] : first[c + 1]]
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         kind = None
         for b in batches:
@@ -117,23 +129,31 @@ def _score_batches(shared):
             ids = np.array(b.column(0).to_pylist(), dtype=object)
             for lo in range(0, len(ids), 1024):
                 lists = b.column(1).slice(lo, 1024).to_pylist()
-                cs, js, vs = [], [], []
-                for j, ts in enumerate(lists):
-                    ts = ts or []
-                    norm = K1 * (1 - B + B * len(ts) / max(1.0, average))
-                    counts: dict[int, int] = {}
-                    for c in filter(None.__ne__, map(column.get, ts)):
-                        counts[c] = counts.get(c, 0) + 1
-                    cs += counts
-                    js += [j] * len(counts)
-                    vs += [f * (K1 + 1) / (f + norm) for f in counts.values()]
-                c, j, v = np.array(cs, np.int64), np.array(js, np.int64), np.array(vs)
+                length = np.array([len(ts) if ts else 0 for ts in lists], np.int64)
+                code = np.array([column.get(t, -1) for ts in lists for t in ts or ()], np.int64)
+                known = code >= 0
+                met, f = np.unique((np.repeat(np.arange(len(lists)), length)[known] << 32) | code[known], return_counts=True)
+                c, j = met & 0xFFFFFFFF, met >> 32
+                v = f * (K1 + 1) / (f + K1 * (1 - B + B * length[j] / max(1.0, average)))
+                dense = len(asked) * len(lists) <= DENSE
+                tf = None
+                if dense and len(common):
+                    often = row_of[c] >= 0
+                    tf = np.zeros((len(common), len(lists)))
+                    tf[row_of[c[often]], j[often]] = v[often]
+                    c, j, v = c[~often], j[~often], v[~often]
                 n = first[c + 1] - first[c]
                 at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[c], n)
                 key, value = query_of[at] * len(lists) + np.repeat(j, n), weight[at] * np.repeat(v, n)
-                if len(asked) * len(lists) <= DENSE:
-                    score = np.bincount(key, value, len(asked) * len(lists))
-                    met = np.flatnonzero(score > 0)
+                if dense:
+                    score = np.bincount(key, value, len(asked) * len(lists)).astype(float)
+                    if tf is not None:
+                        score += (table_of @ tf).ravel()
+                    least = 0.0
+                    if len(lists) > k:  # what the k-th best of the query exceeds goes at once
+                        table = score.reshape(len(asked), len(lists))
+                        least = np.repeat(np.partition(table, len(lists) - k, axis=1)[:, len(lists) - k], len(lists))
+                    met = np.flatnonzero((score > 0) & (score >= least))
                     score = score[met]
                 else:
                     met, back = np.unique(key, return_inverse=True)
