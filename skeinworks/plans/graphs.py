@@ -169,7 +169,14 @@ def bridge_pairs(spark, sf_dir: str) -> DataFrame:
     return _rounded(bridges(spark, sf_dir), "topk_mean", "best")
 
 
-@query("degree_capped")
+CAPPED_SQL = BASE_SQL + BRIDGE_SQL + """o AS MATERIALIZED (SELECT src, dst, round(topk_mean, 6) AS conf, row_number() OVER (ORDER BY round(topk_mean, 6) DESC, src, dst) AS r FROM bridges),
+g AS (SELECT 0::BIGINT AS r, MAP {}::MAP(VARCHAR, INT) AS deg, NULL::VARCHAR AS src, NULL::VARCHAR AS dst, NULL::DOUBLE AS conf, false AS kept
+  UNION ALL SELECT o.r, CASE WHEN ok THEN map_concat(deg, MAP {o.src: coalesce(deg[o.src], 0) + 1, o.dst: coalesce(deg[o.dst], 0) + 1}) ELSE deg END, o.src, o.dst, o.conf, ok
+  FROM (SELECT g.deg, o.*, coalesce(g.deg[o.src], 0) < 3 AND coalesce(g.deg[o.dst], 0) < 3 AS ok FROM g JOIN o ON o.r = g.r + 1) o)
+SELECT src, dst, conf FROM g WHERE kept"""
+
+
+@query("degree_capped", CAPPED_SQL)
 def degree_capped(spark, sf_dir: str) -> DataFrame:
     """Bridges taken greedily by their mean while both parents have fewer than three."""
     b = bridges(spark, sf_dir).select("src", "dst", F.round("topk_mean", 6).alias("conf"))
