@@ -11,6 +11,7 @@ def queries() -> dict:
         "p2_found": quota_sample.p2_found,
         "p2_report": quota_sample.p2_report,
         "p2_sample": quota_sample.p2_sample,
+        "p2_sample_checks": quota_sample.p2_sample_checks,
         "p3_found": answer_defects.p3_found,
         "p3_labels": answer_defects.p3_labels,
         "p3_manifest": answer_defects.p3_manifest,
@@ -32,6 +33,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": near_dups.P1_SQL,
         "p2_found": quota_sample.P2_SQL,
         "p2_report": quota_sample.P2_REPORT_SQL,
+        "p2_sample_checks": quota_sample.P2_SAMPLE_CHECKS_SQL,
         "p4_found": canonical_dups.P4_SQL,
         "p4_collapsed": canonical_dups.P4_COLLAPSED_SQL,
         "p5_found": cooccurrence.P5_SQL,

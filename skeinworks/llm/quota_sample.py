@@ -207,6 +207,18 @@ def p2_sample(spark, sf_dir: str) -> DataFrame:
     return one.unionByName(two)
 
 
+def p2_sample_checks(spark, sf_dir: str) -> DataFrame:
+    """Of every plan and category: the rows drawn, how many different ones, and how many whose record has that category."""
+    out, both = None, _on_tables(spark, sf_dir)
+    for name, (i, category, _) in RECORD_SETS.items():
+        records = runtime.table(spark, sf_dir, name).select(F.col(i).alias("id"), trimmed(F.lower(category)).alias("is"))
+        got = both[name]
+        rows = got.sample.join(records, "id").groupBy("plan_id", "category").agg(F.count("*").alias("rows"), F.countDistinct("id").alias("ids"), F.count_if(F.col("is") == trimmed(F.lower("category"))).alias("fitting"))
+        rows = got.report.select("plan_id", "category").join(rows, ["plan_id", "category"], "left").fillna(0)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 _P2_SQL = r"""
 WITH r AS (
   SELECT 'math_train' AS record_set, regexp_replace(lower(difficulty), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS c FROM math_train
@@ -226,3 +238,4 @@ o AS (SELECT *, row_number() OVER (PARTITION BY plan_id ORDER BY rest DESC, cate
 e AS (SELECT *, least(available, greatest(min_rows, low + CASE WHEN place <= units AND rest > 0 THEN 1 ELSE 0 END))::BIGINT AS drawn FROM o)
 SELECT plan_id, category, target_pct, need, available, drawn, drawn >= need AS met FROM e
 """
+P2_SAMPLE_CHECKS_SQL = "SELECT plan_id, category, drawn AS rows, drawn AS ids, drawn AS fitting FROM (" + P2_REPORT_SQL + ")"
