@@ -20,7 +20,7 @@ _SIM = "(CASE WHEN len(list_distinct(list_concat({a}, {b}))) > 0 THEN len(list_i
 BATCH_SQL = f"""WITH s AS (SELECT synth_id, refill_file, problem, lower(trim(coalesce(difficulty, ''))) AS level, {SKELETON_SQL} AS skeleton,
   list_distinct(list_filter(list_transform(coalesce(selected_seed_qids, []), lambda x: trim(x)), lambda x: x <> '')) AS seeds, list_distinct(list_filter(list_transform(coalesce(chain_subnodes, []), lambda x: trim(x)), lambda x: x <> '')) AS nodes
   FROM synth_refill WHERE refill_file IS NOT NULL),
-g AS (SELECT refill_file, count(*) AS items, count(DISTINCT synth_id) AS slots, count_if(level = 'easy') AS easy, count_if(level = 'medium') AS medium, count_if(level = 'hard') AS hard, count_if(len(seeds) = 0) AS no_seed, count_if(len(nodes) = 0) AS no_node FROM s GROUP BY refill_file),
+g AS (SELECT refill_file, count(*) AS items, count(DISTINCT synth_id) AS slots, count_if(level = 'easy')::BIGINT AS easy, count_if(level = 'medium')::BIGINT AS medium, count_if(level = 'hard')::BIGINT AS hard, count_if(len(seeds) = 0)::BIGINT AS no_seed, count_if(len(nodes) = 0)::BIGINT AS no_node FROM s GROUP BY refill_file),
 k AS (SELECT refill_file, sum(n - 1) AS repeated FROM (SELECT refill_file, skeleton, count(*) AS n FROM s WHERE len(string_split(skeleton, ' ')) >= 8 GROUP BY ALL) GROUP BY refill_file),
 qs AS (SELECT refill_file, count(DISTINCT q) AS seeds FROM (SELECT refill_file, unnest(seeds) AS q FROM s) GROUP BY refill_file),
 ns AS (SELECT refill_file, count(DISTINCT q) AS nodes FROM (SELECT refill_file, unnest(nodes) AS q FROM s) GROUP BY refill_file),
@@ -69,7 +69,7 @@ def batch_check(spark, sf_dir: str) -> DataFrame:
     return checked_batches(rows, table(spark, sf_dir, "math_seed")).withColumnRenamed("batch", "refill_file")
 
 
-@query("difficulty_histogram", "SELECT chain_bucket, count_if(d = 'easy') AS easy, count_if(d = 'medium') AS medium, count_if(d = 'hard') AS hard, count_if(d NOT IN ('easy', 'medium', 'hard')) AS other FROM (SELECT lower(trim(coalesce(chain_bucket, ''))) AS chain_bucket, lower(trim(coalesce(difficulty, ''))) AS d FROM synth_refill) GROUP BY chain_bucket")
+@query("difficulty_histogram", "SELECT chain_bucket, count_if(d = 'easy')::BIGINT AS easy, count_if(d = 'medium')::BIGINT AS medium, count_if(d = 'hard')::BIGINT AS hard, count_if(d NOT IN ('easy', 'medium', 'hard'))::BIGINT AS other FROM (SELECT lower(trim(coalesce(chain_bucket, ''))) AS chain_bucket, lower(trim(coalesce(difficulty, ''))) AS d FROM synth_refill) GROUP BY chain_bucket")
 def difficulty_histogram(spark, sf_dir: str) -> DataFrame:
     clean = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
     s = table(spark, sf_dir, "synth_refill").select(clean("chain_bucket").alias("chain_bucket"), clean("difficulty").alias("d"))
@@ -119,7 +119,7 @@ def seed_usage_plan(spark, sf_dir: str) -> DataFrame:
 
 @query("slot_drops", """WITH s AS (SELECT synth_id, refill_file, lower(trim(coalesce(difficulty, ''))) AS level, regexp_matches(coalesce(problem, ''), '[^\\s]') AS active FROM synth_refill WHERE refill_file IS NOT NULL),
 a AS (SELECT * FROM s WHERE active)
-SELECT s.refill_file, count(*) - count_if(active) AS dropped, count_if(active) AS active, count_if(active AND level = 'easy') AS easy, count_if(active AND level = 'medium') AS medium, count_if(active AND level = 'hard') AS hard,
+SELECT s.refill_file, (count(*) - count_if(active))::BIGINT AS dropped, count_if(active)::BIGINT AS active, count_if(active AND level = 'easy')::BIGINT AS easy, count_if(active AND level = 'medium')::BIGINT AS medium, count_if(active AND level = 'hard')::BIGINT AS hard,
  (SELECT count(*) FROM answered_rows r JOIN a ON a.synth_id = r.synth_id WHERE a.refill_file = s.refill_file) AS answers FROM s GROUP BY s.refill_file""")
 def slot_drops(spark, sf_dir: str) -> DataFrame:
     """Slots without a problem are dropped from every row set of their file, and its counts made anew."""
