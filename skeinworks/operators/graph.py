@@ -20,6 +20,7 @@ def prerequisite_edges(pairs: DataFrame, min_cooccur: int, min_sim: float, min_g
     gap = F.col("db") - F.col("da")
     evident = (F.col("cooccur") >= min_cooccur) | (F.col("sim") >= min_sim)
     up = pairs.filter(evident & (F.abs(gap) >= min_gap))
+    # The shares of shared seeds, similarity and difficulty.
     conf = 0.35 * F.least(F.lit(1.0), F.col("cooccur") / 3) + 0.35 * F.col("sim") + 0.30 * F.least(F.lit(1.0), F.abs(gap) / min_gap)
     pick = lambda x, y: F.when(gap > 0, F.col(x)).otherwise(F.col(y))
     return up.select("parent", pick("a", "b").alias("src"), pick("b", "a").alias("dst"), conf.alias("conf"), "cooccur", "sim", F.abs(gap).alias("gap"))
@@ -149,4 +150,5 @@ def normalised_entropy(counts: Column) -> Column:
 
 
 def bridge_score(sim: Column, affinity: Column) -> Column:
+    # The shares of words and of subjects.
     return 0.70 * T.clip01(sim) + 0.30 * affinity

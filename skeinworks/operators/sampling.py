@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinworks import runtime
+from skeinworks.operators.relational import top_k
 
 
 def uniform(seed: int, *columns: str) -> Column:
@@ -23,47 +24,57 @@ def softmax_choice(df: DataFrame, keys: list[str], item: str, score: str, temper
 
 def shuffled_first(df: DataFrame, keys: list[str], item: str, k: int, seed: int) -> DataFrame:
     """k items of each group in a seeded random order."""
-    from skeinworks.operators.relational import top_k
-
     return top_k(df, keys, [F.xxhash64(F.lit(seed), item), F.col(item)], k)
 
 
 def cluster_groups(df: DataFrame, group: str, item: str, terms: str, weight: str, k: int, fit_rows: int = 80, rounds: int = 10) -> DataFrame:
     """group, item, cluster: k-means on unit tf-idf vectors within each group; groups of at most k items keep each alone.
 
-    Centres are fitted on the fit_rows items of largest weight and every item goes to its nearest centre.
-    Starts are the farthest points in order of weight, so the result is the same in every run. Groups are
-    a catalogue's codes, whose number of concepts is bounded by the catalogue.
+    Frequencies cover whole groups. Centres are fitted on the fit_rows items of largest weight, all that a task ever holds of a group,
+    and every item goes to its nearest centre by joins on terms. Starts are the farthest points in order of weight, so the result
+    is the same in every run.
     """
     runtime.ship_package(df.sparkSession)
-    kind = {c: df.schema[c].dataType.simpleString() for c in (group, item)}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([weight, item], ascending=[False, True]).reset_index(drop=True)
-        if len(pdf) <= k:
-            return pd.DataFrame({group: pdf[group], item: pdf[item], "cluster": np.arange(len(pdf), dtype=np.int32)})
-        vocabulary = {t: i for i, t in enumerate(sorted({t for ts in pdf[terms] for t in ts}))}
-        x = np.zeros((len(pdf), max(1, len(vocabulary))))
-        for r, ts in enumerate(pdf[terms]):
-            for t in ts:
-                x[r, vocabulary[t]] += 1
-        x *= np.log((1 + len(pdf)) / (1 + (x > 0).sum(axis=0))) + 1
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        fit = x[:fit_rows]
+    rows = df.select(group, item, terms, weight)
+    size = rows.groupBy(group).agg(F.count("*").alias("__n"))
+    tf = rows.select(group, item, F.explode(terms).alias("__t")).groupBy(group, item, "__t").agg(F.count("*").alias("__f"))
+    idf = tf.groupBy(group, "__t").agg(F.count("*").alias("__d"))
+    v = tf.join(idf, [group, "__t"]).join(size, group).withColumn("__v", F.col("__f") * (F.log((1 + F.col("__n")) / (1 + F.col("__d"))) + 1))
+    norm = v.groupBy(group, item).agg(F.greatest(F.sqrt(F.sum(F.col("__v") * F.col("__v"))), F.lit(1e-12)).alias("__norm"))
+    unit = runtime.materialize(v.join(norm, [group, item]).select(group, item, "__t", (F.col("__v") / F.col("__norm")).alias("__v")), "cluster-units")
+    first = top_k(rows.select(group, item, weight), [group], [F.col(weight).desc(), F.col(item)], max(fit_rows, k), "__place").join(size, group)
+    alone = first.filter(F.col("__n") <= k).select(group, item, (F.col("__place") - 1).cast("int").alias("cluster"))
+    fitted = first.filter((F.col("__n") > k) & (F.col("__place") <= fit_rows)).join(unit, [group, item], "left").select(group, "__place", "__t", "__v")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        words = sorted(pdf["__t"].dropna().unique())
+        column, order = {t: i for i, t in enumerate(words)}, {p: i for i, p in enumerate(sorted(pdf["__place"].unique()))}
+        x = np.zeros((len(order), max(1, len(words))))
+        known = pdf.dropna(subset=["__t"])
+        x[known["__place"].map(order).to_numpy(int), known["__t"].map(column).to_numpy(int)] = known["__v"]
         chosen = [0]
         for _ in range(k - 1):
-            chosen.append(int((1 - fit @ fit[chosen].T).min(axis=1).argmax()))
-        centre = fit[chosen]
+            chosen.append(int((1 - x @ x[chosen].T).min(axis=1).argmax()))
+        centre = x[chosen]
         for _ in range(rounds):
-            near = (fit @ centre.T - (centre**2).sum(axis=1) / 2).argmax(axis=1)
-            new = np.stack([fit[near == j].mean(axis=0) if (near == j).any() else centre[j] for j in range(k)])
+            near = (x @ centre.T - (centre**2).sum(axis=1) / 2).argmax(axis=1)
+            new = np.stack([x[near == j].mean(axis=0) if (near == j).any() else centre[j] for j in range(k)])
             if np.allclose(new, centre):
                 break
             centre = new
-        near = (x @ centre.T - (centre**2).sum(axis=1) / 2).argmax(axis=1)
-        return pd.DataFrame({group: pdf[group], item: pdf[item], "cluster": near.astype(np.int32)})
-
-    return df.select(group, item, terms, weight).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {item} {kind[item]}, cluster int")
+        at, word = np.nonzero(centre)
+        half = (centre**2).sum(axis=1) / 2
+        out = pd.DataFrame({"cluster": np.r_[np.arange(k), at].astype(np.int32), "__t": [None] * k + [words[i] for i in word], "__c": np.r_[half, centre[at, word]]})
+        out.insert(0, group, pdf[group].iloc[0])
+        return out
+
+    kind = df.schema[group].dataType.simpleString()
+    centres = runtime.materialize(fitted.groupBy(group).applyInPandas(fit, f"{group} {kind}, cluster int, __t string, __c double"), "cluster-centres")
+    half = centres.filter("__t is null").select(group, "cluster", F.col("__c").alias("__half"))
+    dots = unit.join(centres.filter("__t is not null"), [group, "__t"]).groupBy(group, item, "cluster").agg(F.sum(F.col("__v") * F.col("__c")).alias("__dot"))
+    every = rows.select(group, item).join(half, group).join(dots, [group, item, "cluster"], "left").withColumn("__s", F.round(F.coalesce("__dot", F.lit(0.0)) - F.col("__half"), 12))
+    near = every.groupBy(group, item).agg(F.max_by("cluster", F.struct("__s", -F.col("cluster"))).alias("cluster"))
+    return near.unionByName(alone)
 
 
 COUNTS = {"easy": 1, "medium": 2, "hard": 3}
