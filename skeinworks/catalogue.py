@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinworks.plans import answers, batches, codes, graphs, planning, search, seeds, status, texts  # noqa: F401  (they register their queries)
+from skeinworks.plans import answers, batches, checks, codes, graphs, planning, search, seeds, status, texts  # noqa: F401  (they register their queries)
 from skeinworks.plans.registry import QUERIES, SQL
 
 

@@ -77,3 +77,56 @@ WITH a AS (SELECT answer_id, lower(trim(coalesce(any_value(verdict), ''))) AS v,
 b AS (SELECT *, CASE WHEN lower(f) = 'wrong problem' THEN 'wrong_problem' WHEN v IN ('ok', 'fail', 'wrong_problem') THEN v WHEN f <> '' THEN 'ok' ELSE 'fail' END AS verdict_fixed FROM a)
 SELECT answer_id, verdict_fixed, CASE WHEN verdict_fixed = 'ok' AND f = '' THEN 'missing_answer' WHEN verdict_fixed = 'ok' AND n = 0 THEN 'missing_steps' WHEN verdict_fixed = 'ok' AND n < 5 THEN 'few_steps' END AS error, least(n, 8)::INT AS steps FROM b
 """
+
+# Phrases that leave a condition unsaid.
+WEAK_PHRASES = [
+    "specific conditions", "specific configuration", "new set of conditions", "new conditions", "alter the constraints", "different set of angles", "a quadratic inequality", "a linear system", "a specific obstacle", "new divisibility conditions",
+    "specific role constraints", "specific digit constraints", "specific group sizes", "certain labeled points", "specific steps", "fixed number of games", "specific pattern", "specific rule", "specified range", "given conditions",
+    "under given conditions", "modified equation", "modified polynomial", "modified function", "modified matrix", "specific symmetry property", "special symmetry property", "specific transformation", "forced case split", "new scoring system", "additional term",
+]
+# Phrases that name no object.
+GENERIC_PHRASES = [
+    "multiple teams", "different types of plants", "different types of", "specific constraints", "specific digit constraints", "specific group sizes", "specific steps", "specific labeled points", "certain labeled points", "certain points", "intermediate points",
+    "fixed number of games", "specific pattern", "specific rule", "specified range", "given conditions", "modified equation", "modified polynomial", "modified function", "specific symmetry property", "specific transformation", "additional term",
+]
+# Words by which a problem's family is told, the first family that fits.
+FAMILIES = {
+    "probability": ["probability", "random", "uniform", "expected value", "deck", "dice", "card", "sample space", "chance"],
+    "geometry": ["triangle", "circle", "ellipse", "line", "point", "angle", "perimeter", "area", "coordinate", "geometry", "vector", "plane"],
+    "counting": ["number of ways", "count", "arrange", "permutation", "combination", "subset", "select", "choose"],
+    "equation_system": ["solve", "equation", "system", "congruence", "mod", "root", "solution"],
+}
+OTHER_FAMILY = "algebraic_object"
+
+
+def has_phrase(text: Column, phrases: list[str]) -> Column:
+    """Whether one of the phrases stands in a normalised text."""
+    return text.rlike("|".join(phrases))
+
+
+def line_error(line: Column, latent: bool = False) -> Column:
+    """missing or underspecified for a line of a plan; latent lines must not be generic either."""
+    t = T.normalize_text(line)
+    vague = has_phrase(t, [*WEAK_PHRASES, *PLACEHOLDERS, *(GENERIC_PHRASES if latent else [])])
+    return F.when(F.trim(t) == "", "missing").when(vague, "underspecified")
+
+
+def list_error(lines: Column, least: int, latent: bool = False) -> Column:
+    """invalid (no list), too_short (fewer than least lines with text) or underspecified."""
+    own = F.filter(lines, lambda x: T.squeeze_ends(F.coalesce(x, F.lit(""))) != "")
+    return F.when(lines.isNull(), "invalid").when(F.size(own) < least, "too_short").when(F.exists(own, lambda x: F.coalesce(line_error(x, latent), F.lit("")) == "underspecified"), "underspecified")
+
+
+def problem_family(text: Column) -> Column:
+    t, out = T.normalize_text(text), F.lit(OTHER_FAMILY)
+    for name, words in reversed(FAMILIES.items()):
+        out = F.when(has_phrase(t, words), name).otherwise(out)
+    return out
+
+
+def report_error(well_posed: Column, sound: Column, counterexample: Column, verdict: Column, hard: Column) -> Column:
+    """What a report on a problem's truth fails by; a counterexample counts for hard problems only."""
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    return (
+        F.when(no(well_posed), "not_well_posed").when(no(sound), "unsound").when(hard & F.coalesce(counterexample, F.lit(False)), "counterexample").when(F.lower(F.trim(F.coalesce(verdict, F.lit("")))) == "fail", "failed")
+    )

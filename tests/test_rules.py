@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skeinworks.functions import answers as A
 from skeinworks.functions import codes as C
+from skeinworks.functions import validate as V
 from skeinworks.operators import relational as R
 from skeinworks.operators import similarity as S
 from skeinworks.operators.sampling import rotated
@@ -97,6 +98,17 @@ def test_batches_break_rules_in_order(spark):
     assert got == {"ok": None, "few": "item_count", "slot": "slots", "level": "difficulty", "skel": "skeletons", "seed": "missing_seeds", "node": "missing_nodes", "copy": "too_close_to_seed", "cover": "seed_coverage"}
 
 
+def test_lines_families_and_reports(spark):
+    df = spark.createDataFrame([(None, None), (" ", ["", None]), ("Use a  Specific Rule", ["a", "b"]), ("certain points lie on it", ["a", "some condition"]), ("multiple teams", ["x", "y"])], "l string, s array<string>")
+    got = [tuple(r) for r in df.select(V.line_error(F.col("l")), V.line_error(F.col("l"), True), V.list_error(F.col("s"), 2)).collect()]
+    assert got == [("missing", "missing", "invalid"), ("missing", "missing", "too_short"), ("underspecified", "underspecified", None), ("underspecified", "underspecified", "underspecified"), (None, "underspecified", None)]
+    texts = ["A random triangle", "Three points", "Choose a subset", "x mod 7", "A matrix", None]
+    assert [one(spark, V.problem_family, t) for t in texts] == ["probability", "geometry", "counting", "equation_system", "algebraic_object", "algebraic_object"]
+    reports = [(True, True, False, "ok", True), (None, True, False, "ok", True), (True, False, True, "fail", True), (True, True, True, "ok", True), (True, True, True, "ok", False), (True, True, None, " FAIL ", False)]
+    df = spark.createDataFrame(reports, "w boolean, s boolean, c boolean, v string, h boolean")
+    assert [r[0] for r in df.select(V.report_error(*map(F.col, "wscvh"))).collect()] == [None, "not_well_posed", "unsound", "counterexample", None, "failed"]
+
+
 def test_rotation_goes_on_over_slots():
     seeds = ["a", "b", "c", "d", "b"]
     got = rotated(seeds, {"c": "n2", "d": "n1"}, [("easy", []), ("hard", ["n2"]), ("medium", ["n1"]), ("medium", [])], ["n1", "n2"])
