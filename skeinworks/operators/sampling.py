@@ -77,6 +77,30 @@ def cluster_groups(df: DataFrame, group: str, item: str, terms: str, weight: str
     return near.unionByName(alone)
 
 
+def feedback_picks(chains: DataFrame, rounds: int, recent: int = 64) -> list[tuple]:
+    """(round, id, score): each round's best chain, given what the rounds before it took.
+
+    chains: id, nodes array<string> (distinct). A chain's score is the sum over its nodes of 1 / sqrt(1 + how often the node was taken); ties go to
+    the smaller id, and the last recent chains are not taken again. The state that is carried on holds the nodes of the
+    chains taken so far, a few for each round; every round is one pass over the chains.
+    """
+    taken: dict[str, int] = {}
+    out: list[tuple] = []
+    for r in range(1, rounds + 1):
+        counts = F.create_map(*(F.lit(x) for kv in sorted(taken.items()) for x in kv)) if taken else None
+        of = lambda n: F.coalesce(F.try_element_at(counts, n), F.lit(0)) if counts is not None else F.lit(0)  # noqa: B023, E731
+        score = F.round(F.aggregate("nodes", F.lit(0.0), lambda s, n: s + 1 / F.sqrt(1.0 + of(n))), 9)
+        last = [x[1] for x in out[-recent:]] if recent else []
+        left = chains.filter(~F.col("id").isin(last)) if last else chains
+        best = left.filter(F.size("nodes") > 0).agg(F.min_by(F.struct("id", "nodes", score.alias("score")), F.struct(-score, F.col("id"))).alias("b")).first()[0]
+        if best is None:
+            break
+        out.append((r, best["id"], best["score"]))
+        for n in best["nodes"]:
+            taken[n] = taken.get(n, 0) + 1
+    return out
+
+
 COUNTS = {"easy": 1, "medium": 2, "hard": 3}
 
 

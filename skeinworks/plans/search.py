@@ -144,3 +144,20 @@ def candidate_pick(spark, sf_dir: str) -> DataFrame:
     """The eight best chains (a top-k report); operators.sampling chooses among them at random."""
     best = chain_score(spark, sf_dir).orderBy(F.col("score").desc(), "synth_id").limit(8)
     return best.select("synth_id", "score", F.row_number().over(Window.orderBy(F.col("score").desc(), "synth_id")).alias("rank"))
+
+
+ROUNDS = 12
+
+
+@query("feedback_picks", "WITH RECURSIVE " + CHAIN_SQL + f""", ch AS MATERIALIZED (SELECT synth_id AS id, list_sort(list_distinct(list(node))) AS nodes FROM (SELECT synth_id, src AS node FROM good UNION ALL SELECT synth_id, dst FROM good) GROUP BY synth_id),
+g AS (SELECT 0 AS r, NULL::BIGINT AS id, NULL::DOUBLE AS score, MAP {{}}::MAP(VARCHAR, INT) AS taken, []::BIGINT[] AS gone
+  UNION ALL SELECT r, id, score, map_from_entries(list_transform(list_distinct(list_concat(map_keys(taken), nodes)), lambda n: (n, coalesce(taken[n], 0) + list_contains(nodes, n)::INT))), list_append(gone, id)
+  FROM (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS k FROM (SELECT g.r + 1 AS r, ch.id, ch.nodes, g.taken, g.gone, round(list_sum(list_transform(ch.nodes, lambda n: 1 / sqrt(1 + coalesce(g.taken[n], 0)))), 9) AS score FROM g, ch WHERE g.r < {ROUNDS} AND NOT list_contains(g.gone, ch.id))) WHERE k = 1)
+SELECT r::INT AS round, id AS synth_id, round(score, 6) AS score FROM g WHERE r > 0""")
+def feedback_picks_query(spark, sf_dir: str) -> DataFrame:
+    """Twelve chains in turn, each the best for what the ones before it left uncovered (a top-k report)."""
+    from skeinworks.operators.sampling import feedback_picks
+
+    ends = chain_steps(spark, sf_dir).select("synth_id", F.explode(F.array("src", "dst")).alias("node"))
+    chains = materialize(ends.groupBy(F.col("synth_id").alias("id")).agg(F.array_sort(F.collect_set("node")).alias("nodes")), "chains")
+    return spark.createDataFrame(feedback_picks(chains, ROUNDS), "round int, synth_id long, score double").withColumn("score", F.round("score", 6))

@@ -11,7 +11,7 @@ from skeinworks.functions import codes as C
 from skeinworks.functions import validate as V
 from skeinworks.operators import relational as R
 from skeinworks.operators import similarity as S
-from skeinworks.operators.sampling import rotated
+from skeinworks.operators.sampling import feedback_picks, rotated
 from skeinworks.plans.batches import checked_batches
 from skeinworks.plans.codes import auxiliary, final_codes, gated
 from skeinworks.plans.search import coverage_starts, neighbourhood
@@ -158,3 +158,12 @@ def test_outline_descriptions_and_rolling_shards(spark, tmp_path):
     assert files.append_rolling(spark.range(10, 14), ["id"], out, rows=3) == 11
     sizes = {r.shard: r["count"] for r in spark.read.json(out).groupBy("shard").count().collect()}
     assert sizes == {"shard_00001": 3, "shard_00002": 3, "shard_00003": 3, "shard_00004": 2}
+
+
+def test_feedback_moves_on_to_uncovered_chains(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "b", "d"]), (3, ["x", "y"]), (4, []), (5, ["x", "y"])], "id long, nodes array<string>")
+    got = feedback_picks(df, 3)
+    assert [(r, i) for r, i, _ in got] == [(1, 1), (2, 2), (3, 3)] and got[1][2] == pytest.approx(1 + 2 / 2**0.5)
+    assert [i for _, i, _ in feedback_picks(df, 9)] == [1, 2, 3, 5]
+    assert [i for _, i, _ in feedback_picks(df, 4, recent=0)] == [1, 2, 3, 1]
+    assert feedback_picks(df.limit(0), 3) == []
