@@ -96,8 +96,14 @@ def pre_edges(spark, sf_dir: str) -> DataFrame:
 
 @query("pre_edges_acyclic", BASE_SQL + "z AS (SELECT 1) SELECT parent, count(*) AS edges, round(min(conf), 6) AS least FROM pre GROUP BY parent")
 def pre_edges_acyclic(spark, sf_dir: str) -> DataFrame:
-    """Edges left of each parent once no cycle is (climbing a difficulty, none has to go)."""
-    kept = G.drop_cycles(prerequisites(spark, sf_dir), "parent")
+    """Edges left of each parent once no cycle is: its edges, and its surest one turned round as the weakest of all.
+
+    Climbing a difficulty, the edges have no cycle of their own; each turned one closes one, and must be the edge that goes.
+    """
+    edges = materialize(prerequisites(spark, sf_dir).select("parent", "src", "dst", "conf"), "climbing")
+    surest = R.top_k(edges, ["parent"], [F.round("conf", 9).desc(), F.col("src"), F.col("dst")], 1)
+    turned = surest.select("parent", F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(0.0).alias("conf"))
+    kept = G.drop_cycles(edges.unionByName(turned), "parent")
     return kept.groupBy("parent").agg(F.count("*").alias("edges"), F.round(F.min("conf"), 6).alias("least"))
 
 
